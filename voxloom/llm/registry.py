@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from .decontamination import OP1_SQL, op1_decontamination
 from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .sharding import op7_sharding
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op7_sharding": op7_sharding,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_decontamination": OP1_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
