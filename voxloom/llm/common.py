@@ -55,3 +55,25 @@ def require_absent(df: DataFrame, *names: str) -> None:
     clash = {c.lower() for c in df.columns} & {n.lower() for n in names}
     if clash:
         raise ValueError(f"input already has the output columns {sorted(clash)}; rename them first")
+
+
+OCCURRENCES = "array<struct<start:int,end:int,found:string>>"
+
+
+def no_occurrences() -> Column:
+    return F.array().cast(OCCURRENCES)
+
+
+def occurrences(text: Column, regex: Column) -> Column:
+    """Leftmost non-overlapping matches with their code point offsets (end exclusive).
+
+    The pieces between matches and the matches are zipped, so each is computed
+    once for a row; offsets are running sums of their lengths.
+    """
+    parts = F.zip_with(F.split(text, regex, -1), F.regexp_extract_all(text, regex, F.lit(0)), lambda piece, found: F.struct(F.length(piece).alias("gap"), found.alias("found")))
+    start = lambda acc, x: acc["at"] + x["gap"]
+    step = lambda acc, x: F.struct(
+        (start(acc, x) + F.coalesce(F.length(x["found"]), F.lit(0))).alias("at"),
+        F.when(x["found"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], F.struct(start(acc, x).alias("start"), (start(acc, x) + F.length(x["found"])).alias("end"), x["found"].alias("found")))).alias("out"),
+    )
+    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), no_occurrences().alias("out")), step, lambda acc: acc["out"])
