@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontamination import OP1_SQL, op1_decontamination
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .license_scan import op10_license_scan
+from .packing import op5_packing
 from .pii import op3_pii
 from .sharding import op7_sharding
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op10_license_scan": op10_license_scan,
     "op3_pii": op3_pii,
+    "op5_packing": op5_packing,
     "op7_sharding": op7_sharding,
     "op9_exact_dedup": op9_exact_dedup,
 }
