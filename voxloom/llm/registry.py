@@ -7,6 +7,7 @@ from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .license_scan import op10_license_scan
 from .packing import op5_packing
 from .pii import op3_pii
+from .quality import op2_quality
 from .sharding import op7_sharding
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
     "op3_pii": op3_pii,
     "op5_packing": op5_packing,
+    "op2_quality": op2_quality,
     "op7_sharding": op7_sharding,
     "op9_exact_dedup": op9_exact_dedup,
 }
