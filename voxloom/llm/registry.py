@@ -9,6 +9,8 @@ from .packing import op5_packing
 from .pii import op3_pii
 from .quality import op2_quality
 from .sharding import op7_sharding
+from .substring_dedup import REPEATS_SQL, op4_substring_dedup
+from .suffix_dedup import op8_suffix_dedup
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
@@ -16,11 +18,15 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op5_packing": op5_packing,
     "op2_quality": op2_quality,
+    "op4_substring_dedup": op4_substring_dedup,
     "op7_sharding": op7_sharding,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE_SQL = {
     "op1_decontamination": OP1_SQL,
+    "op4_substring_dedup": REPEATS_SQL,
+    "op8_suffix_dedup": REPEATS_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
