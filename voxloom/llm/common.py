@@ -57,6 +57,23 @@ def require_absent(df: DataFrame, *names: str) -> None:
         raise ValueError(f"input already has the output columns {sorted(clash)}; rename them first")
 
 
+#: A group with more than one in so many rows is hot; there are fewer hot groups than this.
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int, how: str = "inner") -> DataFrame:
+    """Join each row to the one row of its group, without gathering a large group in one task.
+
+    ``groups`` has one row for each key and its number of rows in ``size``.  Those
+    with over a thousandth of all rows are fewer than a thousand, so they are
+    broadcast; no other group is large enough to unbalance the shuffled join.
+    """
+    added = [c for c in groups.columns if c != key]
+    seen = rows.join(F.broadcast(groups.where(F.col(size) * HOT_SHARE > n_rows)), key, "left")
+    cold = seen.where(F.col(size).isNull()).drop(*added).join(groups, key, how)
+    return seen.where(F.col(size).isNotNull()).unionByName(cold)
+
+
 OCCURRENCES = "array<struct<start:int,end:int,found:string>>"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontamination import OP1_SQL, op1_decontamination
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .license_scan import op10_license_scan
+from .near_dedup import OP6_SQL, op6_near_dedup
 from .packing import op5_packing
 from .pii import op3_pii
 from .quality import op2_quality
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op2_quality": op2_quality,
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op7_sharding": op7_sharding,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
@@ -27,6 +29,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_decontamination": OP1_SQL,
     "op4_substring_dedup": REPEATS_SQL,
+    "op6_near_dedup": OP6_SQL,
     "op8_suffix_dedup": REPEATS_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
