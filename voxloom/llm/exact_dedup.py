@@ -22,8 +22,6 @@ from . import common
 #: 64-bit words in a row of the broadcast filter.
 BLOCK = 512
 HASHES = 3
-#: A group with more than one in so many rows is hot.
-HOT_SHARE = 1000
 
 
 def _bits(h: Column) -> list[Column]:
@@ -73,11 +71,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", bit
     single = hashed.where(~maybe).select(*docs.columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha.alias("text_sha256"))
     shuffled = hashed.where(maybe).select(*docs.columns, sha.alias(key))
     groups = shuffled.groupBy(key).agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size"))
-    # Groups over a thousandth of all rows are fewer than a thousand; they are broadcast, so no task gets all rows of one.
-    hot = groups.where(F.col("group_size") * HOT_SHARE > n)
-    seen = shuffled.join(F.broadcast(hot), key, "left")
-    cold = seen.where("group_size IS NULL").drop("keep_id", "group_size").join(groups, key)
-    judged = seen.where("group_size IS NOT NULL").unionByName(cold)
+    judged = common.join_groups(shuffled, groups, key, "group_size", n)
     return single.unionByName(judged.select(*docs.columns, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), F.col(key).alias("text_sha256")))
 
 
