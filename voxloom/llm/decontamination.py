@@ -57,7 +57,7 @@ def scan(text: str | None, automaton: ahocorasick.Automaton, before: dict | None
     """What the automaton finds in a text, joined with what an earlier pass found."""
     words = words_of(text or "")
     line = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    hits = list(automaton.iter(line)) if words else []
+    hits = list(automaton.iter(line)) if words and len(automaton) else []
     spans = [(x["first"], x["end"]) for x in before["hit_words"]] if before else []
     items = set(before["items"]) if before else set()
     if hits:

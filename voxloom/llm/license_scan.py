@@ -108,7 +108,7 @@ def default_rules() -> list[Rule]:
     """The families by the forms in which they are named, then the notices."""
     rules = []
     for label, spdx, keyword, title, versions in FAMILIES:
-        key = re.sub(r"\W+", "-", keyword)
+        key = re.sub(r"\W+", "-", f"{label} {keyword}")
         rules.append(Rule(f"{key}-title", label, 2, keyword, rf"\b{title} licen[cs]e\b"))
         rules.append(Rule(f"{key}-under", label, 1, keyword, rf"\blicen[cs]ed under (?:the )?(?:terms of the )?{title}(?: licen[cs]e)?\b"))
         rules.append(Rule(f"{key}-spdx", label, 0, "spdx-license-identifier", rf"spdx-license-identifier: ?{re.escape(spdx.lower())}(?:-[a-z0-9.]+)*"))
