@@ -1,4 +1,8 @@
-"""Every query on the driver tables, with its SQL."""
+"""Every query on the driver tables, with its SQL where SQL can express it."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from __future__ import annotations
+
+from . import curation
+
+QUERIES = {**curation.QUERIES}
+ORACLE_SQL = {**curation.SQL}
