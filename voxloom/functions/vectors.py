@@ -161,8 +161,8 @@ def nearest(targets: DataFrame, voices: DataFrame, target_vec: str, name: str, v
     """Add best and best_score: the voice with the least mse - cosine, the first name on ties."""
     score = score or (lambda t, v: mse(t, v) - cosine(t, v))
     candidates = voices.agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), F.col(vec).alias("vec")))).alias("c")).scalar()
-    best = F.array_min(F.transform(candidates, lambda c: F.struct(score(F.col(target_vec), c["vec"]).alias("score"), c["name"].alias("name"))))
-    return targets.withColumn("_best", best).withColumn("best", F.col("_best.name")).withColumn("best_score", F.col("_best.score")).drop("_best")
+    best = F.array_min(F.transform(F.col("_candidates"), lambda c: F.struct(score(F.col(target_vec), c["vec"]).alias("score"), c["name"].alias("name"))))
+    return targets.withColumn("_candidates", candidates).withColumn("_best", best).withColumn("best", F.col("_best.name")).withColumn("best_score", F.col("_best.score")).drop("_best", "_candidates")
 
 
 def smoothed(df: DataFrame, group: str, order: str, vec: str, previous: float = 0.2) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import curation
+from . import curation, logs, texts, voices
 
-QUERIES = {**curation.QUERIES}
-ORACLE_SQL = {**curation.SQL}
+_MODULES = (curation, texts, voices, logs)
+QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
