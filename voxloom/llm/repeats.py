@@ -33,6 +33,8 @@ WINDOW = 50
 CHUNK_BYTES = 4 << 20
 HASH_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
+#: Replies go out by document and bucket; with few buckets their number would not follow the input.
+MIN_BUCKETS = 64
 #: A null id counts as larger than any other.
 NULL_ID = (1 << 63) - 1
 MESSAGE = "to int, bucket int, decided boolean, docs binary, counts binary, flags binary, prints binary"
@@ -200,7 +202,7 @@ def _chunks(ids: pa.Array, texts: pa.Array, extra: pa.Array | None = None) -> It
     keys, part, more, size = [], [], [], 0
     for i, text in enumerate(texts.cast(pa.binary())):
         keys.append(ids[i].as_py())
-        part.append(text.as_py())
+        part.append(text.as_py() or b"")
         more.append(extra[i].as_py() if extra is not None else None)
         size += len(part[-1])
         if size >= CHUNK_BYTES:
@@ -242,7 +244,7 @@ def remove_repeats(docs: DataFrame, choose: Chooser, window: int = WINDOW, text:
     key, back, out = (common.fresh_name(docs, x) for x in ("key", "replies", "out"))
     half = window // 2
     size = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    n_buckets = max(common.shuffle_partitions(docs.sparkSession), -(-size // BUCKET_BYTES))
+    n_buckets = max(MIN_BUCKETS, common.shuffle_partitions(docs.sparkSession), -(-size // BUCKET_BYTES))
     row_key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +260,7 @@ def remove_repeats(docs: DataFrame, choose: Chooser, window: int = WINDOW, text:
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts, replies in _chunks(batch["doc"], batch["text"], batch["replies"]):
+            for ids, texts, replies in _chunks(batch[key], batch[text], batch[back]):
                 chunk, _ = chunk_of(texts)
                 prints, valid = chunk.prints(half)
                 bucket, bits = _split(prints, n_buckets, False)
@@ -293,7 +295,10 @@ def remove_repeats(docs: DataFrame, choose: Chooser, window: int = WINDOW, text:
         return pa.array(rows, pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]))
 
     thin = docs.select(row_key.alias("doc"), common.text_or_empty(text).alias("text"))
+    # Both joins read the same columns of a table that has no others, so its texts are shuffled once.
+    keyed = docs.withColumn(key, row_key)
+    carried = keyed if len(docs.columns) <= 2 else keyed.select(key, text)
+    to_key = lambda replies: replies.select(F.col("doc").alias(key), F.col("replies").alias(back))
     shared = _meeting(thin.mapInArrow(anchors, MESSAGE), smaller=False)
-    removed = _meeting(thin.join(shared, "doc").mapInArrow(windows, MESSAGE), smaller=True)
-    keyed = docs.withColumn(key, row_key).join(removed.select(F.col("doc").alias(key), F.col("replies").alias(back)), key, "left")
-    return keyed.withColumn(out, cleaned(F.col(text), F.col(back))).select(*docs.columns, f"{out}.*")
+    removed = _meeting(carried.join(to_key(shared), key).mapInArrow(windows, MESSAGE), smaller=True)
+    return keyed.join(to_key(removed), key, "left").withColumn(out, cleaned(F.col(text), F.col(back))).select(*docs.columns, f"{out}.*")
