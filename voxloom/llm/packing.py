@@ -31,8 +31,10 @@ TASK_BYTES = 64 << 20
 K1, B = 1.2, 0.75
 #: Terms of the seed in a retrieval query, those of most weight.
 QUERY_TERMS = 32
-#: Words whose tokens a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Words whose tokens a Python worker remembers, and as many letter parts of words.
+CACHE_WORDS = 100_000
+#: Rows of an Arrow batch that become Python strings at once.
+BATCH_ROWS = 1_000
 
 SPLIT = re.compile("[ \t\n\r]+")
 TAIL = ".,!?;:*|&$%#"
@@ -231,7 +233,9 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str =
         def columns() -> Iterator[tuple[list, list[str]]]:
             for batch in batches:
                 kinds[:] = [batch.schema.field("id").type]
-                yield batch["id"].to_pylist(), batch["text"].to_pylist()
+                for first in range(0, batch.num_rows, BATCH_ROWS):
+                    part = batch.slice(first, BATCH_ROWS)
+                    yield part["id"].to_pylist(), part["text"].to_pylist()
 
         for out in pack_blocks(columns(), word_tokens(tokenizer_path), TaskContext.get().partitionId() << 32, window):
             types = [kinds[0], pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]

@@ -31,7 +31,7 @@ from . import common
 WINDOW = 50
 #: UTF-8 bytes of text that make up a chunk, that are hashed at once, and that a bucket stands for.
 CHUNK_BYTES = 4 << 20
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 BUCKET_BYTES = 16 << 20
 #: Replies go out by document and bucket; with few buckets their number would not follow the input.
 MIN_BUCKETS = 64
