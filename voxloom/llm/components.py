@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 from . import common
 
 
-def _shape(edges: DataFrame) -> tuple[int, int]:
+#: Edges that one task takes; a round over few edges makes few tasks and few shuffle files.
+EDGES_PER_TASK = 100_000
+
+
+def _few(df: DataFrame, n_edges: int) -> DataFrame:
+    return df.coalesce(max(1, -(-n_edges // EDGES_PER_TASK)))
+
+
+def _shape(edges: DataFrame, at_most: int | None = None) -> tuple[int, int]:
     """How many edges there are, and how many nodes keep them from being stars around roots."""
     ends = edges.select(F.col("child").alias("node"), F.lit(1).alias("as_child"), F.lit(0).alias("as_parent")).unionByName(edges.select(F.col("parent").alias("node"), F.lit(0).alias("as_child"), F.lit(1).alias("as_parent")))
     roles = ends.groupBy("node").agg(F.sum("as_child").alias("c"), F.max("as_parent").alias("p"))
+    roles = roles if at_most is None else _few(roles, at_most)
     row = roles.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if((F.col("c") > 1) | ((F.col("c") > 0) & (F.col("p") > 0))).alias("bad")).first()
     return row["n"], row["bad"]
 
@@ -25,15 +34,16 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("parent")).distinct()
     edges = common.checkpoint(edges)
     n, bad = _shape(edges)
+    edges = _few(edges, n)
     while bad:
         both = edges.select(F.col("child").alias("u"), F.col("parent").alias("v")).unionByName(edges.select(F.col("parent").alias("u"), F.col("child").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         joined = common.join_groups(both, least.select("u", F.least("u", "m").alias("m"), "n"), "u", "n", 2 * n)
-        large = joined.where("v > u").select(F.col("v").alias("child"), F.col("m").alias("parent"))
+        large = _few(joined.where("v > u").select(F.col("v").alias("child"), F.col("m").alias("parent")), n)
         least = large.groupBy("child").agg(F.min("parent").alias("m"), F.count("*").alias("n"))
         joined = common.join_groups(large, least, "child", "n", n)
         small = joined.select(F.when(F.col("parent") == F.col("m"), F.col("child")).otherwise(F.col("parent")).alias("child"), F.col("m").alias("parent"))
-        edges = common.checkpoint(small.where("child <> parent").distinct())
-        n, bad = _shape(edges)
+        edges = common.checkpoint(_few(_few(small.where("child <> parent"), n).distinct(), n))
+        n, bad = _shape(edges, n)
     roots = edges.select(F.col("child").alias("node"), F.col("parent").alias("root"))
     return roots.unionByName(edges.select(F.col("parent").alias("node"), F.col("parent").alias("root")).distinct())
