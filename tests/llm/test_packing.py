@@ -66,3 +66,40 @@ def test_neighbours_rank_by_shared_rare_terms():
     docs = [np.array(x, "<u4") for x in ([5, 6, 7, 9], [5, 8, 8], [6, 7, 9, 1], [1, 2, 3])]
     assert packing.Shard(docs).neighbours(0)[0] == 2
     assert list(packing.fill_order(docs, 0, 100))[:2] == [0, 2]
+
+
+def test_scores_are_those_of_the_whole_table(spark):
+    texts = ["a b c", "a a d", "a", "e f a", "b c d e f", "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    tokens = packing.tokenized(docs, packing.tokenizer_file())
+    corpus = packing.corpus_statistics(tokens)
+    words = packing.WordTokens(packing.tokenizer_file())
+    want = [np.array(x) for x in words.encode(texts)]
+    df = np.bincount(np.concatenate([np.unique(x) for x in want]))
+    assert np.allclose(corpus.idf, np.log1p((6 - df + 0.5) / (df + 0.5))) and corpus.mean_length == sum(map(len, want)) / 6
+    part = [want[i].astype("<u4") for i in (1, 4)]
+    assert np.allclose(packing.Shard(part, corpus).score(np.unique(part[0])), packing.Shard([x.astype("<u4") for x in want], corpus).score(np.unique(part[0]))[[1, 4]])
+
+
+def test_all_terms_of_the_seed_count():
+    seed = np.repeat(np.arange(2, 42), 2)
+    for term in range(2, 42):
+        docs = [x.astype("<u4") for x in (seed, np.array([term, 99]), np.array([98, 99]))]
+        assert packing.Shard(docs).neighbours(0) == [1]
+
+
+def test_alike_documents_share_a_task_wherever_they_stand(spark):
+    rng = np.random.default_rng(0)
+    words = [chr(97 + i) + chr(97 + j) for i in range(20) for j in range(20)]
+    texts = [" ".join(rng.choice(words[40 * (i % 10) : 40 * (i % 10) + 40], 60)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "10")
+    try:
+        rows = packing.pack(docs, packing.tokenizer_file()).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    topics = defaultdict(set)
+    for r in rows:
+        topics[r["sequence_id"] >> 32].add(r["doc_id"] % 10)
+    assert len(topics) > 5 and np.mean([len(x) for x in topics.values()]) < 4

@@ -1,17 +1,26 @@
 """Lexical retrieval packing.
 
-Documents are dealt to tasks by the hash of their id; inside a task, blocks of
-bounded token count are the shards of a BM25 inverted index over token ids.  A
-window is opened by a seed document (or by the rest of a document that the
-window before it cut) and filled with the unused documents of its shard that
-score best against the seed, each cut where the window ends.  Windows follow
-each other without gaps, so a task pads its last window only.
+Document frequencies, the number of documents and their mean length are those
+of the whole table, so a BM25 score doesn't depend on how documents are dealt.
+Every document ranks a fixed number of leaders, documents taken by hash from the
+whole table; in the order of these rankings the table is dealt to tasks, and
+inside a task to blocks of bounded token count, the shards of a BM25 inverted
+index over token ids.  A window is opened by a seed document (or by the rest of
+a document that the window before it cut) and filled with the unused documents
+of its shard that score best against all terms of the seed, each cut where the
+window ends.  Windows follow each other without gaps, so a task pads its last
+window only.
+
+The search of a seed still ends at its shard: documents alike in their ranking
+of the leaders share one, others are not found.  README has the measured recall.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +38,8 @@ CHUNK_CHARS = 1_000_000
 #: UTF-8 bytes of text that a task is dealt.
 TASK_BYTES = 64 << 20
 K1, B = 1.2, 0.75
-#: Terms of the seed in a retrieval query, those of most weight.
-QUERY_TERMS = 32
+#: Documents that all others rank, at most 256 and the square root of their number, and how many of a ranking count.
+LEADERS, RANKED = 256, 8
 #: Words whose tokens a Python worker remembers, and as many letter parts of words.
 CACHE_WORDS = 100_000
 #: Rows of an Arrow batch that become Python strings at once.
@@ -132,40 +141,55 @@ def word_tokens(path: str) -> WordTokens:
     return _words[path]
 
 
+class Corpus(NamedTuple):
+    """What BM25 takes from the whole table: inverse document frequency by term, mean length in tokens."""
+
+    idf: np.ndarray
+    mean_length: float
+
+
+def corpus_of(n_docs: int, n_tokens: int, df: np.ndarray) -> Corpus:
+    return Corpus(np.log1p((n_docs - df + 0.5) / (df + 0.5)), n_tokens / max(n_docs, 1))
+
+
 class Shard:
-    """BM25 inverted index over the token ids of a block of documents."""
+    """BM25 inverted index over the token ids of a block of documents; without a corpus the block is all there is."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         counted = [np.unique(d, return_counts=True) for d in docs]
         sizes = np.array([len(t) for t, _ in counted])
         terms, tf = (np.concatenate([c[i] for c in counted]) for i in (0, 1))
         doc = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
         length = np.array([len(d) for d in docs], float)
-        saturated = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / length.mean()))
-        df = np.bincount(terms)
-        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
+        corpus = corpus or corpus_of(len(docs), int(length.sum()), np.bincount(terms))
+        saturated = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / corpus.mean_length))
+        df = np.bincount(terms, minlength=len(corpus.idf))
         self.n, self.starts = len(docs), np.concatenate([[0], np.cumsum(df)])
         self.ends = np.concatenate([[0], np.cumsum(sizes)])
-        self.terms, self.impact = terms, (saturated * idf[terms]).astype(np.float32)
+        self.terms = terms
         order = np.argsort(terms, kind="stable")
-        self.postings, self.scores = doc[order], self.impact[order]
+        self.postings, self.scores = doc[order], (saturated * corpus.idf[terms]).astype(np.float32)[order]
 
-    def neighbours(self, seed: int) -> list[int]:
-        """Documents that share a query term with the seed, best first, ties by position."""
-        own = slice(self.ends[seed], self.ends[seed + 1])
-        terms, impact = self.terms[own], self.impact[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-impact, kind="stable")[:QUERY_TERMS]]
+    def score(self, terms: np.ndarray) -> np.ndarray:
+        """Score of each document against all of the terms."""
         at = np.concatenate([np.arange(a, b) for a, b in zip(self.starts[terms].tolist(), self.starts[terms + 1].tolist(), strict=True)])
-        score = np.bincount(self.postings[at], self.scores[at], self.n)
+        return np.bincount(self.postings[at], self.scores[at], self.n)
+
+    def ranking(self, terms: np.ndarray) -> bytes:
+        """The documents of best score, one byte for each, ties by position."""
+        return np.argsort(-self.score(terms), kind="stable")[:RANKED].astype(np.uint8).tobytes()
+
+    def neighbours(self, seed: int) -> list[int]:
+        """Documents that share a term with the seed, best first, ties by position."""
+        score = self.score(self.terms[self.ends[seed] : self.ends[seed + 1]])
         score[seed] = 0
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")].tolist()
 
 
-def fill_order(docs: list[np.ndarray], fill: int, window: int) -> Iterator[int]:
+def fill_order(docs: list[np.ndarray], fill: int, window: int, corpus: Corpus | None = None) -> Iterator[int]:
     """The order in which a shard's documents are laid out, for a window that already holds ``fill`` tokens."""
-    shard, used, at = Shard(docs), np.zeros(len(docs), bool), 0
+    shard, used, at = Shard(docs, corpus), np.zeros(len(docs), bool), 0
     ranked: Iterator[int] = iter(())
     for _ in docs:
         pick = next((i for i in ranked if not used[i]), None) if fill else None
@@ -182,14 +206,14 @@ def fill_order(docs: list[np.ndarray], fill: int, window: int) -> Iterator[int]:
             ranked = iter(shard.neighbours(pick) if fill else ())
 
 
-def pack_blocks(batches: Iterator[tuple[list, list[str]]], words: WordTokens, first_sequence: int, window: int) -> Iterator[dict[str, list]]:
-    """(ids, texts) batches -> columns of pieces, block by block."""
+def pack_blocks(named: Iterator[tuple[object, np.ndarray]], corpus: Corpus, first_sequence: int, window: int) -> Iterator[dict[str, list]]:
+    """(id, tokens) of documents -> columns of pieces, block by block."""
     names, docs, tokens, at = [], [], 0, 0
 
     def laid_out() -> dict[str, list]:
         nonlocal at
         out: dict[str, list] = {k: [] for k in ("id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
-        for i in fill_order(docs, at % window, window):
+        for i in fill_order(docs, at % window, window, corpus):
             ids, start = docs[i], 0
             while start < len(ids):
                 offset = at % window
@@ -199,18 +223,84 @@ def pack_blocks(batches: Iterator[tuple[list, list[str]]], words: WordTokens, fi
                 start, at = start + length, at + length
         return out
 
-    for keys, texts in batches:
-        for key, ids in zip(keys, words.encode(texts), strict=True):
-            names.append(key)
-            docs.append(ids)
-            tokens += len(ids)
-            if tokens >= BLOCK_TOKENS:
-                yield laid_out()
-                names, docs, tokens = [], [], 0
+    for key, ids in named:
+        names.append(key)
+        docs.append(ids)
+        tokens += len(ids)
+        if tokens >= BLOCK_TOKENS:
+            yield laid_out()
+            names, docs, tokens = [], [], 0
     if docs:
         yield laid_out()
 
 
+def stored(ids: np.ndarray) -> bytes:
+    """Two bytes a token where they do."""
+    return ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes()
+
+
+def tokens_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The token ids of each row, of the width in which they were stored."""
+    for ids, n in zip(batch["ids"], batch["doc_tokens"].to_pylist(), strict=True):
+        raw = ids.as_buffer()
+        yield np.frombuffer(raw, f"<u{raw.size // n}").astype("<u4")
+
+
+def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """id, ids, doc_tokens of each row of (id, text)."""
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = word_tokens(tokenizer_path)
+        for batch in batches:
+            for first in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(first, BATCH_ROWS)
+                raw, sizes = [], []
+                for ids in words.encode(part["text"].to_pylist()):
+                    raw.append(stored(ids))
+                    sizes.append(len(ids))
+                yield pa.RecordBatch.from_arrays([part["id"], pa.array(raw, pa.binary()), pa.array(sizes, pa.int64())], ["id", "ids", "doc_tokens"])
+
+    return docs.mapInArrow(encoded, f"id {dict(docs.dtypes)['id']}, ids binary, doc_tokens long")
+
+
+def corpus_statistics(tokens: DataFrame) -> Corpus:
+    """One aggregation over all documents; its result has a row for each term of the vocabulary."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(1, np.int64)
+        for batch in batches:
+            for ids in tokens_of(batch):
+                terms = np.unique(ids)
+                if terms[-1] >= len(df):
+                    df = np.concatenate([df, np.zeros(terms[-1] + 1, np.int64)])
+                df[terms] += 1
+        found = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(df[found], pa.int64())], ["term", "df"])
+
+    size = tokens.agg(F.count("*").alias("docs"), F.coalesce(F.sum("doc_tokens"), F.lit(0)).alias("tokens")).first()
+    rows = tokens.select("ids", "doc_tokens").mapInArrow(counted, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    df = np.zeros(max((r["term"] for r in rows), default=0) + 1)
+    df[[r["term"] for r in rows]] = [r["df"] for r in rows]
+    return corpus_of(size["docs"], size["tokens"], df)
+
+
+def ranked(tokens: DataFrame, corpus: Corpus) -> DataFrame:
+    """Add the ranking of the leaders, documents of least hash in the whole table."""
+    chance = F.xxhash64("id", "ids")
+    n_leaders = min(LEADERS, math.isqrt(tokens.count()))
+    # Only hashes are compared over the whole table; the tokens of those few below the last one are fetched.
+    last = tokens.select(chance.alias("chance")).orderBy("chance").limit(n_leaders).agg(F.max("chance").alias("last")).first()["last"]
+    leaders = [np.frombuffer(r["ids"], f"<u{len(r['ids']) // r['doc_tokens']}") for r in tokens.where(chance <= F.lit(last)).orderBy(chance, "id").limit(n_leaders).collect()]
+
+    def rankings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Shard(leaders, corpus) if leaders else None
+        for batch in batches:
+            keys = [index.ranking(np.unique(ids)) for ids in tokens_of(batch)]
+            yield batch.append_column("ranking", pa.array(keys, pa.binary()))
+
+    return tokens.mapInArrow(rankings, f"id {dict(tokens.dtypes)['id']}, ids binary, doc_tokens long, ranking binary")
+
+
 def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """One row per piece: id, start, length, ids, doc_tokens, sequence_id, offset.
 
@@ -224,20 +314,22 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str =
     id_type = dict(docs.dtypes)[id_col]
     size = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     n_tasks = max(common.shuffle_partitions(spark), -(-size // TASK_BYTES))
-    thin = docs.select(F.col(id_col).alias("id"), common.text_or_empty(text).alias("text"))
-    dealt = thin.repartition(n_tasks, F.xxhash64("id", F.octet_length("text"))).sortWithinPartitions(F.xxhash64("id"), "id", F.xxhash64("text"))
+    tokens = common.checkpoint(tokenized(docs.select(F.col(id_col).alias("id"), common.text_or_empty(text).alias("text")), tokenizer_path))
+    corpus = corpus_statistics(tokens)
+    # Written, as dealing by ranges reads it twice; the row number lets a range end inside a run of equal rows.
+    placed = common.checkpoint(ranked(tokens, corpus).withColumn("tie", F.xxhash64("id", "ids")).withColumn("row", F.monotonically_increasing_id()))
+    order = ("ranking", "tie", "id", "row")
+    dealt = placed.repartitionByRange(n_tasks, *order).sortWithinPartitions(*order).select("id", "ids", "doc_tokens")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: list[pa.DataType] = []
 
-        def columns() -> Iterator[tuple[list, list[str]]]:
+        def named() -> Iterator[tuple[object, np.ndarray]]:
             for batch in batches:
                 kinds[:] = [batch.schema.field("id").type]
-                for first in range(0, batch.num_rows, BATCH_ROWS):
-                    part = batch.slice(first, BATCH_ROWS)
-                    yield part["id"].to_pylist(), part["text"].to_pylist()
+                yield from zip(batch["id"].to_pylist(), tokens_of(batch), strict=True)
 
-        for out in pack_blocks(columns(), word_tokens(tokenizer_path), TaskContext.get().partitionId() << 32, window):
+        for out in pack_blocks(named(), corpus, TaskContext.get().partitionId() << 32, window):
             types = [kinds[0], pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             arrays = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, [id_col if k == "id" else k for k in out])
