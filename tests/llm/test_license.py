@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from voxloom.llm import license_scan as ls
@@ -54,3 +56,50 @@ def test_every_keyword_passes_the_gate(spark):
     assert len({r.name for r in rules}) == len(rules) > 200
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string").limit(0).withColumn("found", F.lit(1))
     assert ls.license_scan(docs).count() == 0
+
+
+def samples(parsed):
+    """Strings that a regular expression matches: every alternative, white space as a line break, repeats at their least and once more."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            new = [chr(arg)]
+        elif name == "BRANCH":
+            new = [x for p in arg[1] for x in samples(p)]
+        elif name == "SUBPATTERN":
+            new = samples(arg[3])
+        elif name in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+            one = samples(arg[2])
+            new = [x * n for n in sorted({arg[0], max(arg[0], 1)}) for x in one]
+        elif name == "IN":
+            new = ["\n" if str(o) == "CATEGORY" and str(a) == "CATEGORY_SPACE" else "w" if str(o) == "CATEGORY" else chr(a[0]) if str(o) == "RANGE" else chr(a) for o, a in arg]
+        elif name == "AT":
+            new = [""]
+        else:
+            raise ValueError(name)
+        out = [a + b for a in out for b in dict.fromkeys(new)][:5000]
+    return out
+
+
+def test_samples_of_every_rule_pass_gate_and_keywords():
+    for r in ls.default_rules():
+        found = [x for x in samples(re._parser.parse(r.regex)) if re.search(r.regex, x)]
+        assert found, r.name
+        for x in found:
+            assert any(k in x for k in ls.GATE) and any(k in x for k in r.keywords), (r.name, x)
+
+
+def test_forms_that_the_prefilter_dropped(spark):
+    want = {
+        "X11 License": "mit",
+        "licensed under the Expat License": "mit",
+        "Creative Commons Zero License": "cc0",
+        "https://creativecommons.org/publicdomain/zero/1.0": "creative-commons",
+        "GNU General\n    Public License,\n    version 3": "gpl-3",
+        "released into the\npublic\n domain": "public-domain",
+        "All rights\nreserved": "proprietary",
+    }
+    docs = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    for r in ls.license_scan(docs).collect():
+        assert want[r["text"]] in r["labels"], r["text"]

@@ -1,8 +1,8 @@
 """License scanning with ordered signature rules (DataFrame functions only).
 
-Each rule is a regular expression with a keyword, a priority and a label.  A
+Each rule is a regular expression with keywords, a priority and a label.  A
 text is first tested for a few gate keywords; in a text that has one, the rules
-whose own keyword occurs are run, and a detection is suppressed when it lies
+of which a keyword occurs are run, and a detection is suppressed when it lies
 inside the interval of another of the same or a stronger priority.
 """
 
@@ -26,13 +26,13 @@ class Rule(NamedTuple):
     name: str
     label: str
     priority: int  # 0 is strongest
-    keyword: str  # lower case; occurs wherever the regular expression matches
-    regex: str
+    keywords: tuple[str, ...]  # lower case, without white space; one occurs wherever the regular expression matches
+    regex: str  # a space stands for any white space
 
 
-#: Fixed values: (label, SPDX name, keyword, title as a regular expression, versions that have a label of their own).
+#: Fixed values: (label, SPDX name, keywords, title as a regular expression, versions that have a label of their own).
 FAMILIES = [
-    ("mit", "MIT", "mit", r"(?:mit|expat|x11)", ()),
+    ("mit", "MIT", "mit|expat|x11", r"(?:mit|expat|x11)", ()),
     ("apache", "Apache", "apache", r"apache(?: software)?", ("1.0", "1.1", "2.0")),
     ("gpl", "GPL", "general public", r"(?:gnu )?general public", ("1", "2", "3")),
     ("gpl", "GPL", "gpl", r"(?:gnu )?gpl", ("1", "2", "3")),
@@ -74,7 +74,7 @@ FAMILIES = [
     ("cc-by-sa", "CC-BY-SA", "sharealike", r"(?:creative commons )?attribution[- ]sharealike", ("2.0", "3.0", "4.0")),
     ("cc-by-nc", "CC-BY-NC", "noncommercial", r"(?:creative commons )?attribution[- ]noncommercial", ("2.0", "3.0", "4.0")),
     ("cc-by-nd", "CC-BY-ND", "noderiv", r"(?:creative commons )?attribution[- ]noderiv(?:ative)?s", ("2.0", "3.0", "4.0")),
-    ("cc0", "CC0", "cc0", r"(?:creative commons )?(?:zero|cc0)", ("1.0",)),
+    ("cc0", "CC0", "cc0|zero", r"(?:creative commons )?(?:zero|cc0)", ("1.0",)),
     ("odbl", "ODbL", "open database", r"open database", ("1.0",)),
     ("sspl", "SSPL", "server side", r"server side public", ("1",)),
     ("busl", "BUSL", "business source", r"business source", ("1.1",)),
@@ -82,39 +82,45 @@ FAMILIES = [
 ]
 #: Notices that are no title.
 NOTICES = [
-    Rule("all-rights", "proprietary", 3, "all rights reserved", r"all rights reserved"),
-    Rule("copyright", "copyright-notice", 3, "copyright", r"copyright (?:\(c\)|©)? ?(?:19|20)[0-9]{2}"),
-    Rule("public-domain", "public-domain", 2, "public domain", r"(?:dedicated|released|placed) (?:to|in|into) the public domain"),
-    Rule("as-is", "warranty-disclaimer", 3, "as is", r'provided "?as is"?,? without (?:any )?warrant(?:y|ies)'),
-    Rule("mit-grant", "mit", 0, "free of charge", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
-    Rule("bsd-grant", "bsd", 0, "binary forms", r"redistribution and use in source and binary forms"),
-    Rule("isc-grant", "isc", 0, "modify, and", r"permission to use, copy, modify, and(?:/or)? distribute this software"),
-    Rule("gpl-grant", "gpl", 0, "redistribute it", r"you can redistribute it and/or modify it under the terms of the gnu general public license"),
-    Rule("apache-url", "apache-2.0", 0, "apache.org/licenses", r"https?://www\.apache\.org/licenses/license-2\.0"),
-    Rule("gpl-url", "gpl", 1, "gnu.org/licenses", r"https?://www\.gnu\.org/licenses/(?:old-licenses/)?gpl[a-z0-9.-]*"),
-    Rule("mit-url", "mit", 1, "opensource.org/licenses", r"https?://(?:www\.)?opensource\.org/licenses/mit[a-z.-]*"),
-    Rule("cc-url", "creative-commons", 1, "creativecommons.org/", r"https?://creativecommons\.org/(?:licenses|publicdomain)/[a-z-]+/[0-9.]+"),
-    Rule("licensed-under", "unknown-license", 3, "licensed under", r"(?:is|are) licensed under"),
+    Rule("all-rights", "proprietary", 3, ("reserved",), r"all rights reserved"),
+    Rule("copyright", "copyright-notice", 3, ("copyright",), r"copyright (?:\(c\)|©)? ?(?:19|20)[0-9]{2}"),
+    Rule("public-domain", "public-domain", 2, ("domain",), r"(?:dedicated|released|placed) (?:to|in|into) the public domain"),
+    Rule("as-is", "warranty-disclaimer", 3, ("warrant",), r'provided "?as is"?,? without (?:any )?warrant(?:y|ies)'),
+    Rule("mit-grant", "mit", 0, ("charge",), r"permission is hereby granted, free of charge, to any person obtaining a copy"),
+    Rule("bsd-grant", "bsd", 0, ("binary",), r"redistribution and use in source and binary forms"),
+    Rule("isc-grant", "isc", 0, ("modify,",), r"permission to use, copy, modify, and(?:/or)? distribute this software"),
+    Rule("gpl-grant", "gpl", 0, ("redistribute",), r"you can redistribute it and/or modify it under the terms of the gnu general public license"),
+    Rule("apache-url", "apache-2.0", 0, ("apache.org/licenses",), r"https?://www\.apache\.org/licenses/license-2\.0"),
+    Rule("gpl-url", "gpl", 1, ("gnu.org/licenses",), r"https?://www\.gnu\.org/licenses/(?:old-licenses/)?gpl[a-z0-9.-]*"),
+    Rule("mit-url", "mit", 1, ("opensource.org/licenses",), r"https?://(?:www\.)?opensource\.org/licenses/mit[a-z.-]*"),
+    Rule("cc-url", "creative-commons", 1, ("creativecommons.org",), r"https?://creativecommons\.org/(?:licenses|publicdomain)/[a-z-]+/[0-9.]+"),
+    Rule("licensed-under", "unknown-license", 3, ("licensed",), r"(?:is|are) licensed under"),
 ]
 
 
-#: One of these occurs in every text that a rule matches.
-GATE = ["licens", "licenc", "all rights reserved", "copyright", "public domain", "as is", "free of charge", "binary forms", "modify, and", "redistribute it"]
+#: One of these occurs in every text that a rule of a family matches; a notice has its keywords.
+GATE = sorted({"licens", "licenc"} | {k for r in NOTICES for k in r.keywords if "licens" not in k})
 CONFIDENCE = [0.99, 0.95, 0.85, 0.5]
 DETECTION = "struct<start:int,until:int,priority:int,rule:string,label:string,end:int>"
 
 
+def spaced(regex: str) -> str:
+    """Spaces become runs of white space; nothing that follows one begins with white space, so runs are never tried shorter."""
+    return regex.replace("[- ]", r"(?:-|\s++)").replace(" ?", r"\s*+").replace(" ", r"\s++")
+
+
 def default_rules() -> list[Rule]:
     """The families by the forms in which they are named, then the notices."""
     rules = []
     for label, spdx, keyword, title, versions in FAMILIES:
-        key = re.sub(r"\W+", "-", f"{label} {keyword}")
-        rules.append(Rule(f"{key}-title", label, 2, keyword, rf"\b{title} licen[cs]e\b"))
-        rules.append(Rule(f"{key}-under", label, 1, keyword, rf"\blicen[cs]ed under (?:the )?(?:terms of the )?{title}(?: licen[cs]e)?\b"))
-        rules.append(Rule(f"{key}-spdx", label, 0, "spdx-license-identifier", rf"spdx-license-identifier: ?{re.escape(spdx.lower())}(?:-[a-z0-9.]+)*"))
+        key = re.sub(r"\W+", "-", f"{label} {keyword.split('|')[0]}")
+        keywords = tuple(max(k.split(), key=len) for k in keyword.split("|"))
+        rules.append(Rule(f"{key}-title", label, 2, keywords, rf"\b{title} licen[cs]e\b"))
+        rules.append(Rule(f"{key}-under", label, 1, keywords, rf"\blicen[cs]ed under (?:the )?(?:terms of the )?{title}(?: licen[cs]e)?\b"))
+        rules.append(Rule(f"{key}-spdx", label, 0, ("spdx-license-identifier",), rf"spdx-license-identifier: ?{re.escape(spdx.lower())}(?:-[a-z0-9.]+)*"))
         for v in versions:
-            rules.append(Rule(f"{key}-{v}", f"{label}-{v}", 0, keyword, rf"\b{title} licen[cs]e,? ?(?:\(?[a-z]{{2,6}}\)?,? )?(?:version|v\.?) ?{re.escape(v)}(?:\.0)?\b"))
-    return rules + NOTICES
+            rules.append(Rule(f"{key}-{v}", f"{label}-{v}", 0, keywords, rf"\b{title} licen[cs]e,? ?(?:\(?[a-z]{{2,6}}\)?,? )?(?:version|v\.?) ?{re.escape(v)}(?:\.0)?\b"))
+    return [r._replace(regex=spaced(r.regex)) for r in rules + NOTICES]
 
 
 def base_regex(phrases: list[tuple[str, ...]]) -> str:
@@ -122,9 +128,9 @@ def base_regex(phrases: list[tuple[str, ...]]) -> str:
 
 
 def _detections(text: Column, low: Column, rules: list[Rule]) -> Column:
-    table = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in (r._asdict() | {"regex": f"(?i){r.regex}"}).items())) for r in rules))
+    table = F.array(*(F.struct(*((F.array(*map(F.lit, v)) if k == "keywords" else F.lit(v)).alias(k) for k, v in (r._asdict() | {"regex": f"(?i){r.regex}"}).items())) for r in rules))
     run = lambda r: F.transform(common.occurrences(text, r["regex"]), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("until"), r["priority"].alias("priority"), r["name"].alias("rule"), r["label"].alias("label"), x["end"].alias("end")))
-    return F.array_sort(F.flatten(F.transform(F.filter(table, lambda r: F.contains(low, r["keyword"])), run)))
+    return F.array_sort(F.flatten(F.transform(F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(low, k))), run)))
 
 
 def _unsuppressed(found: Column) -> Column:
