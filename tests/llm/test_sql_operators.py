@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from voxloom.llm import common, decontamination, exact_dedup, near_dedup, substring_dedup, suffix_dedup
 
@@ -77,7 +78,19 @@ def test_decontamination_blocks_and_offsets(spark):
 def test_bloom_filter_of_any_size_gives_the_same_groups(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     want = sorted(exact_dedup.exact_dedup(docs).drop("text").collect())
-    assert sorted(exact_dedup.exact_dedup(docs, bits_per_row=1, max_filter_words=512).drop("text").collect()) == want
+    assert sorted(exact_dedup.exact_dedup(docs, bits_per_hash=1).drop("text").collect()) == want
+
+
+def test_a_filter_larger_than_a_broadcast_still_lets_single_rows_pass(spark):
+    n = 60_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.when(F.col("id") < 40_000, F.floor(F.col("id") / 2)).otherwise(F.col("id"))).alias("text"))
+    parts = exact_dedup.tested(docs, F.col("text"), "maybe", 16, 512)
+    assert len(parts) == -(-20_000 * 16 // 64 // 512)
+    sizes = [p.agg(F.count("*"), F.count_if("maybe"), F.count_if(F.expr("maybe AND doc_id >= 40000")), F.count_if(F.expr("NOT maybe AND doc_id < 40000"))).first() for p in parts]
+    rows, maybe, wrong, missed = map(sum, zip(*sizes, strict=True))
+    assert rows == n and missed == 0 and wrong < 0.02 * 20_000 and maybe == 40_000 + wrong
+    got = exact_dedup.exact_dedup(docs, max_filter_words=512).agg(F.count("*"), F.count_if("kept"), F.max("group_size")).first()
+    assert tuple(got) == (n, 40_000, 2)
 
 
 def test_confirmed_links_equal_all_pairs():
