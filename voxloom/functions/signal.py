@@ -12,17 +12,16 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .vectors import total
+from .vectors import bound, total
 
 # ---- expressions -------------------------------------------------------------
 
 
 def downmix(channels: Column) -> Column:
     """Mean over an array of equally long channels."""
-    n = F.size(channels)
-    first = F.transform(F.get(channels, F.lit(0)), lambda x: F.lit(0.0))
-    summed = F.aggregate(channels, first, lambda acc, c: F.zip_with(acc, c, lambda a, b: a + b))
-    return F.transform(summed, lambda x: x / n)
+    first = lambda c: F.transform(F.get(c, F.lit(0)), lambda x: F.lit(0.0))
+    summed = lambda c: F.aggregate(c, first(c), lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
+    return bound(channels, lambda c: bound(F.size(c), lambda n: F.transform(summed(c), lambda x: x / n)))
 
 
 def peak(x: Column) -> Column:
@@ -42,7 +41,7 @@ def dynamic_range_db(x: Column) -> Column:
 
 
 def clipping_ratio(x: Column, level: float = 0.95) -> Column:
-    return F.size(F.filter(x, lambda v: F.abs(v) > level)) / F.size(x)
+    return F.try_divide(F.size(F.filter(x, lambda v: F.abs(v) > level)), F.size(x))
 
 
 def dc_offset(x: Column) -> Column:
@@ -53,7 +52,7 @@ def zero_crossing_rate(x: Column) -> Column:
     """Changes of sign between neighbours, by the number of samples."""
     signs = F.transform(x, lambda v: F.signum(v))
     pairs = F.zip_with(F.slice(signs, 1, F.greatest(F.size(x) - 1, F.lit(0))), F.slice(signs, 2, F.size(x)), lambda a, b: a != b)
-    return F.size(F.filter(pairs, lambda c: c)) / F.size(x)
+    return F.try_divide(F.size(F.filter(pairs, lambda c: c)), F.size(x))
 
 
 def zero_crossing_half(x: Column) -> Column:
@@ -64,58 +63,67 @@ def zero_crossing_half(x: Column) -> Column:
 
 
 def silence_ratio(x: Column) -> Column:
-    limit = 0.01 * peak(x)
-    return F.size(F.filter(x, lambda v: F.abs(v) < limit)) / F.size(x)
+    return bound(x, lambda a: bound(0.01 * peak(a), lambda limit: F.try_divide(F.size(F.filter(a, lambda v: F.abs(v) < limit)), F.size(a))))
 
 
 def level_db(x: Column) -> Column:
     return 10 * F.log10(mean_square(x) + 1e-10)
 
 
+def _slices(x: Column, frame: int, hop: int, more: int) -> Column:
+    def cut(a: Column) -> Column:
+        last = F.size(a) - frame + more
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(hop)), lambda i: F.slice(a, i + 1, F.lit(frame)))).otherwise(F.array().cast("array<array<double>>"))
+
+    return bound(x, cut)
+
+
 def frames(x: Column, frame: int) -> Column:
     """Non-overlapping frames; a last one that ends with the signal is left out.  No frames for a signal not longer than one."""
-    last = F.size(x) - frame - 1
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(frame)), lambda i: F.slice(x, i + 1, F.lit(frame)))).otherwise(F.array().cast("array<array<double>>"))
+    return _slices(x, frame, frame, -1)
 
 
 def unfold(x: Column, frame: int, hop: int) -> Column:
     """All whole frames at every hop."""
-    last = F.size(x) - frame
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(hop)), lambda i: F.slice(x, i + 1, F.lit(frame)))).otherwise(F.array().cast("array<array<double>>"))
+    return _slices(x, frame, hop, 0)
 
 
 def quantile_linear(x: Column, q: float) -> Column:
     """Quantile of an array with linear interpolation; null when empty."""
-    s = F.array_sort(x)
-    at = (F.size(s) - 1) * F.lit(q)
-    low = F.floor(at).cast("int")
-    a, b = F.get(s, low), F.get(s, F.least(low + 1, F.size(s) - 1))
-    return a + (b - a) * (at - low)
+
+    def at_q(s: Column) -> Column:
+        at = (F.size(s) - 1) * F.lit(q)
+        low = F.floor(at).cast("int")
+        a, b = F.get(s, low), F.get(s, F.least(low + 1, F.size(s) - 1))
+        return a + (b - a) * (at - low)
+
+    return bound(F.array_sort(x), at_q)
 
 
 def frame_snr_db(x: Column, frame: int) -> Column:
     """Mean power against the tenth percentile of frame powers; null without a frame."""
-    powers = F.transform(frames(x, frame), lambda f: mean_square(f))
-    return F.when(F.size(powers) > 0, 10 * F.log10(mean_square(x) / (quantile_linear(powers, 0.1) + 1e-10)))
+    snr = lambda a, powers: F.when(F.size(powers) > 0, 10 * F.log10(mean_square(a) / (quantile_linear(powers, 0.1) + 1e-10)))
+    return bound(x, lambda a: bound(F.transform(frames(a, frame), lambda f: mean_square(f)), lambda powers: snr(a, powers)))
 
 
 def trimmed_snr_db(x: Column) -> Column:
     """Mean of the loudest tenth (rounded up) against the quietest (rounded down); null under ten samples."""
-    s = F.array_sort(F.transform(x, lambda v: F.abs(v)))
-    low, high = F.floor(F.size(s) / 10).cast("int"), F.ceil(F.size(s) / 10).cast("int")
-    noise, signal = F.slice(s, 1, F.greatest(low, F.lit(0))), F.slice(s, F.greatest(F.size(s) - high + 1, F.lit(1)), F.greatest(high, F.lit(0)))
-    return F.when(low > 0, 20 * F.log10(total(signal) / F.size(signal) / (total(noise) / F.size(noise) + 1e-8)))
+
+    def compared(s: Column) -> Column:
+        low, high = F.floor(F.size(s) / 10).cast("int"), F.ceil(F.size(s) / 10).cast("int")
+        noise, signal = F.slice(s, 1, F.greatest(low, F.lit(0))), F.slice(s, F.greatest(F.size(s) - high + 1, F.lit(1)), F.greatest(high, F.lit(0)))
+        return F.when(low > 0, 20 * F.log10(total(signal) / high / (total(noise) / low + 1e-8)))
+
+    return bound(F.array_sort(F.transform(x, lambda v: F.abs(v))), compared)
 
 
 def remove_dc(x: Column) -> Column:
-    m = dc_offset(x)
-    return F.transform(x, lambda v: v - m)
+    return bound(x, lambda a: bound(dc_offset(a), lambda m: F.transform(a, lambda v: v - m)))
 
 
 def scaled_to_peak(x: Column, db: float) -> Column:
     """Scale so that the peak is at ``db``; a silent signal is unchanged."""
-    p = peak(x)
-    return F.when(p > 0, F.transform(x, lambda v: v * (10 ** (db / 20)) / p)).otherwise(x)
+    return bound(x, lambda a: bound(peak(a), lambda p: F.when(p > 0, F.transform(a, lambda v: v * (10 ** (db / 20)) / p)).otherwise(a)))
 
 
 def peak_normalize(x: Column, db: float = -3.0) -> Column:
@@ -123,15 +131,14 @@ def peak_normalize(x: Column, db: float = -3.0) -> Column:
 
 
 def rms_normalize(x: Column, target: float = 0.1) -> Column:
-    r = rms(x)
-    return F.transform(x, lambda v: v * target / (r + 1e-8))
+    return bound(x, lambda a: bound(rms(a) + 1e-8, lambda r: F.transform(a, lambda v: v * target / r)))
 
 
 def trim_silence(x: Column, threshold_db: float = -40.0, eps: float = 1e-8) -> Column:
     """From the first to the last sample over the threshold; a silent signal is unchanged."""
-    loud = F.filter(F.transform(x, lambda v, i: F.when(20 * F.log10(F.abs(v) + eps) > threshold_db, i)), lambda i: i.isNotNull())
-    first, last = F.array_min(loud), F.array_max(loud)
-    return F.when(F.size(loud) > 0, F.slice(x, F.coalesce(first, F.lit(0)) + 1, F.coalesce(last - first, F.lit(0)) + 1)).otherwise(x)
+    loud = lambda a: F.filter(F.transform(a, lambda v, i: F.when(20 * F.log10(F.abs(v) + eps) > threshold_db, i)), lambda i: i.isNotNull())
+    cut = lambda a, first, last: F.when(first.isNull(), a).otherwise(F.slice(a, F.coalesce(first, F.lit(0)) + 1, F.coalesce(last - first, F.lit(0)) + 1))
+    return bound(x, lambda a: bound(loud(a), lambda at: cut(a, F.array_min(at), F.array_max(at))))
 
 
 def pad_or_cut(x: Column, n: int) -> Column:
@@ -164,9 +171,23 @@ def metrics(x: Column) -> Column:
     )
 
 
-def enhancement_methods(snr_db: Column, needs_dc: Column, silence: Column) -> Column:
-    """Rules that choose methods by need, in order."""
-    return F.array_compact(F.array(F.when(needs_dc, "remove_dc"), F.when(snr_db < 10, "strong_denoise"), F.when(snr_db.between(10, 20), "light_denoise"), F.when(silence > 0.3, "trim_silence"), F.lit("normalize")))
+def needs(level: Column, centroid: Column, level_rms: Column, silence: Column, rate: float) -> Column:
+    """struct(noise_reduction, spectral_enhancement, dynamics_processing)."""
+    return F.struct((level < 15.0).alias("noise_reduction"), (centroid < 0.1 * rate).alias("spectral_enhancement"), ((level_rms < 0.1) | (silence > 0.3)).alias("dynamics_processing"))
+
+
+def enhancement_methods(level: Column, centroid: Column, level_rms: Column, silence: Column, rate: float) -> Column:
+    """The methods that a signal needs, in order; ``level`` is its level in dB."""
+    need = needs(level, centroid, level_rms, silence, rate)
+    noisy, dull, uneven = (need[k] for k in ("noise_reduction", "spectral_enhancement", "dynamics_processing"))
+    rules = [
+        (noisy & (level < 12.0), "deepfilter"),
+        (noisy & (level < 5.0), "spectral_subtraction"),
+        (dull, "resemble_enhance"),
+        (uneven, "pitch_correction"),
+        (uneven & (level_rms < 0.05), "metricgan"),
+    ]
+    return F.array_compact(F.array(*(F.when(rule, F.lit(name)) for rule, name in rules)))
 
 
 # ---- kernels behind Arrow UDFs ---------------------------------------------------
@@ -223,22 +244,21 @@ def spectral_ratios(x: Column, rate: float, nperseg: int = 1024) -> Column:
     return _rows(kernel, "low_freq_ratio double, high_freq_ratio double, centroid double")(x)
 
 
-def pitch_stats(x: Column, rate: float, frame: int = 1024, hop: int = 256) -> Column:
-    """struct(mean, std, low, high) of the autocorrelation pitch from 50 to 500 Hz; zeros where no frame has one."""
+def _pitch(s: np.ndarray, rate: float, frame: int, hop: int) -> dict:
+    found = []
+    low, high = int(rate / 500), int(rate / 50)
+    for f in _framed(s, frame, hop) if len(s) >= frame > high > low else ():
+        lags = np.fft.irfft(np.abs(np.fft.rfft(f - f.mean(), 2 * frame)) ** 2)[:frame]
+        if lags[0] > 0:
+            pitch = rate / ((low + int(np.argmax(lags[low:high]))) or 1)
+            if 50 <= pitch <= 500:
+                found.append(pitch)
+    return {"mean": float(np.mean(found)), "std": float(np.std(found, ddof=1)) if len(found) > 1 else 0.0, "low": min(found), "high": max(found)} if found else {"mean": 0.0, "std": 0.0, "low": 0.0, "high": 0.0}
 
-    def kernel(s: np.ndarray) -> dict:
-        found = []
-        for f in _framed(s, frame, hop) if len(s) >= frame else ():
-            spectrum = np.abs(np.fft.rfft(f - f.mean(), 2 * frame)) ** 2
-            lags = np.fft.irfft(spectrum)[:frame]
-            low, high = int(rate / 500), min(int(rate / 50), frame)
-            if high > low and lags[0] > 0:
-                pitch = rate / (low + int(np.argmax(lags[low:high])) or 1)
-                if 50 <= pitch <= 500:
-                    found.append(pitch)
-        return {"mean": float(np.mean(found)), "std": float(np.std(found, ddof=1)) if len(found) > 1 else 0.0, "low": min(found), "high": max(found)} if found else {"mean": 0.0, "std": 0.0, "low": 0.0, "high": 0.0}
 
-    return _rows(kernel, "mean double, std double, low double, high double")(x)
+def pitch_stats(x: Column, rate: float, frame: int = 1024, hop: int = 256) -> Column:
+    """struct(mean, std, low, high) of the autocorrelation pitch from 50 to 500 Hz; zeros where no frame has one."""
+    return _rows(lambda s: _pitch(s, rate, frame, hop), "mean double, std double, low double, high double")(x)
 
 
 def log_mel(x: Column, rate: float, size: int = 1024, hop: int = 256, bands: int = 80) -> Column:
@@ -308,16 +328,20 @@ def high_pass(x: Column, rate: float, cutoff: float = 80.0, order: int = 4) -> C
 
 
 def voice_features(x: Column, rate: float, dims: int = 256) -> Column:
-    """Mel means and deviations, cepstral means and deviations, pitch, centroid, energy, crossings and length, z-scored times 0.1."""
-    bank = mel_bank(rate, 1024, 64)
+    """Mel means and deviations (64 each), cepstral means and deviations (13 each), pitch (4), centroid, energy, crossings and length, padded to ``dims``, z-scored times 0.1."""
+    bank, f = mel_bank(rate, 1024, 80), np.fft.rfftfreq(1024, 1 / rate)
+    # Orthonormal cosines; cepstra are taken of the mel powers in dB.
+    basis = np.sqrt(2 / 80) * np.cos(np.pi / 80 * (np.arange(80) + 0.5)[None] * np.arange(13)[:, None])
+    basis[0] /= np.sqrt(2)
+    spread = lambda m: m.std(0, ddof=1) if len(m) > 1 else np.zeros(m.shape[1])
 
     def kernel(s: np.ndarray) -> list[float]:
-        mel = np.log(stft_magnitude(s, 1024, 256) @ bank.T + 1e-8)
-        basis = np.cos(np.pi / 64 * (np.arange(64) + 0.5)[None] * np.arange(13)[:, None])
-        cepstra = mel @ basis.T
-        sign = np.sign(s)
-        tail = [float((np.fft.rfftfreq(1024, 1 / rate) * stft_magnitude(s, 1024, 256)).sum() / (stft_magnitude(s, 1024, 256).sum() + 1e-8)), float((s**2).mean()), float((np.abs(np.diff(sign)) / 2).mean()) if len(s) > 1 else 0.0, len(s) / rate]
-        v = np.concatenate([mel.mean(0), mel.std(0), cepstra.mean(0), cepstra.std(0), tail])[:dims]
+        magnitude = stft_magnitude(np.pad(s, 512, "reflect" if len(s) > 512 else "constant"), 1024, 256)
+        mel, power = np.log(np.maximum(magnitude @ bank.T, 1e-5)), 10 * np.log10(np.maximum(magnitude**2 @ bank.T, 1e-10))
+        cepstra = np.maximum(power, power.max() - 80) @ basis.T
+        centroid = ((magnitude * f).sum(1) / np.maximum(magnitude.sum(1), 1e-8)).mean()
+        tail = [centroid, np.sqrt((s**2).mean()), (np.abs(np.diff(np.sign(s))) / 2).mean() if len(s) > 1 else 0.0, len(s) / rate]
+        v = np.concatenate([mel.mean(0)[:64], spread(mel)[:64], cepstra.mean(0), spread(cepstra), list(_pitch(s, rate, 1024, 256).values()), tail])[:dims]
         v = np.pad(v, (0, dims - len(v)))
         return ((v - v.mean()) / (v.std(ddof=1) + 1e-8) * 0.1).tolist()
 

@@ -88,15 +88,14 @@ def tokens(text: Column) -> Column:
 
 
 def token_histogram(df: DataFrame, text: str = "text") -> DataFrame:
-    """(token, n, pct): the total is a scalar subquery, so no window without partitions."""
+    """(token, n, pct): the total is the sum of the counts, a scalar subquery over them, so no window without partitions."""
     counts = df.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    total = df.agg(F.sum(F.size(tokens(F.col(text)))).alias("total"))
-    return counts.withColumn("pct", 100.0 * F.col("n") / total.scalar())
+    return counts.withColumn("pct", 100.0 * F.col("n") / counts.agg(F.sum("n").alias("total")).scalar())
 
 
-#: Single-symbol classes; parameters of ``class_coverage``.
-VOWELS = ["a", "e", "i", "o", "u", "ɑ", "ɔ", "ə", "ɛ", "ɪ", "ʊ", "ʌ", "æ", "ɜ", "ɚ", "ɝ", "ɐ"]
-CONSONANTS = ["b", "d", "f", "g", "h", "j", "k", "l", "m", "n", "p", "r", "s", "t", "v", "w", "z", "ð", "ŋ", "ʃ", "ʒ", "θ"]
+#: Sound classes; parameters of ``class_coverage``.
+VOWELS = ["i", "ɪ", "e", "ɛ", "æ", "ɑ", "ɔ", "o", "ʊ", "u", "ʌ", "ə", "ɚ", "ɛɹ", "aɪ", "aʊ", "ɔɪ"]
+CONSONANTS = ["p", "b", "t", "d", "k", "g", "f", "v", "θ", "ð", "s", "z", "ʃ", "ʒ", "h", "m", "n", "ŋ", "l", "ɹ", "w", "j"]
 
 
 def class_coverage(histogram: DataFrame) -> DataFrame:
@@ -148,16 +147,31 @@ def suffix(path: Column) -> Column:
 
 
 def parse_log_line(line: Column) -> Column:
-    """struct(epoch, epochs, batch, batches, loss, avg) of a progress line; nulls where it is none.
+    """struct(type, epoch, epochs, batch, batches, loss, avg, train_loss, val_loss); nulls where a line has none.
 
-    The loss is the first one behind a bar, so a text that holds "Loss:" doesn't disturb it.
+    An ``epoch`` line is a summary with its training and validation loss; a
+    ``batch`` line reports progress.  A summary on several lines is first joined
+    to one, see ``joined_summaries``.  The loss of a batch is the first one
+    behind a bar, so a text that holds "Loss:" doesn't disturb it.
     """
-    number = lambda regex, kind: F.nullif(F.regexp_extract(line, regex, 1), F.lit("")).try_cast(kind)
+    found = lambda regex, kind: F.nullif(F.regexp_extract(line, regex, 1), F.lit("")).try_cast(kind)
+    epoch = F.contains(line, F.lit("Epoch")) & F.contains(line, F.lit("Summary:"))
+    batch = ~epoch & F.contains(line, F.lit("[Epoch")) & F.contains(line, F.lit("Batch"))
+    number = lambda regex, kind: F.when(batch, found(regex, kind))
+    loss = lambda name: F.when(epoch, found(rf"{name} Loss:\s*([-+0-9.eEnaif]+)", "double"))
     return F.struct(
-        number(r"\[Epoch (\d+)/\d+\]", "int").alias("epoch"),
-        number(r"\[Epoch \d+/(\d+)\]", "int").alias("epochs"),
+        F.when(epoch, "epoch").when(batch, "batch").alias("type"),
+        F.when(epoch, found(r"Epoch\s*(\d+)", "int")).otherwise(number(r"\[Epoch (\d+)/\d+\]", "int")).alias("epoch"),
+        F.when(epoch, found(r"Epoch\s*\d+/(\d+)", "int")).otherwise(number(r"\[Epoch \d+/(\d+)\]", "int")).alias("epochs"),
         number(r"Batch (\d+)/\d+", "int").alias("batch"),
         number(r"Batch \d+/(\d+)", "int").alias("batches"),
         number(r"^[^|]*\| Loss: ([0-9.]+)", "double").alias("loss"),
         number(r"^[^|]*\| Loss: [0-9.]+ \| Avg: ([0-9.]+)", "double").alias("avg"),
+        loss("Training").alias("train_loss"),
+        loss("Validation").alias("val_loss"),
     )
+
+
+def joined_summaries(log: Column) -> Column:
+    """Array of the lines of a log; the indented lines behind an epoch summary are joined to it."""
+    return F.split(F.regexp_replace(log, r"(?m)(?<=\S)[ \t]*\r?\n[ \t]+(?=(?:Training|Validation) Loss:)", " "), r"\r?\n")

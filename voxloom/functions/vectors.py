@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once for a row.
+
+    Inside a lambda an outer expression would be worked out again for every element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def doubles(vec: Column) -> Column:
     return vec.cast("array<double>")
 
@@ -15,7 +23,7 @@ def total(vec: Column) -> Column:
 
 
 def mean(vec: Column) -> Column:
-    return total(vec) / F.size(vec)
+    return F.try_divide(total(vec), F.size(vec))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -55,13 +63,11 @@ def spectral_convergence(a: Column, b: Column) -> Column:
 
 
 def pearson(a: Column, b: Column) -> Column:
-    x, y = _centred(a), _centred(b)
-    return F.try_divide(dot(x, y), norm(x) * norm(y))
+    return bound(_centred(a), lambda x: bound(_centred(b), lambda y: cosine(x, y)))
 
 
 def _centred(v: Column) -> Column:
-    m = mean(v)
-    return F.transform(v, lambda x: x - m)
+    return bound(v, lambda a: bound(mean(a), lambda m: F.transform(a, lambda x: x - m)))
 
 
 def halves(vec: Column, dims: int) -> tuple[Column, Column]:
@@ -70,8 +76,11 @@ def halves(vec: Column, dims: int) -> tuple[Column, Column]:
 
 
 def std_pop(vec: Column) -> Column:
-    m = mean(vec)
-    return F.sqrt(total(F.transform(vec, lambda x: (x - m) * (x - m))) / F.size(vec))
+    return bound(vec, lambda a: bound(mean(a), lambda m: F.sqrt(F.try_divide(total(F.transform(a, lambda x: (x - m) * (x - m))), F.size(a)))))
+
+
+def std_samp(vec: Column) -> Column:
+    return bound(vec, lambda a: bound(mean(a), lambda m: F.sqrt(F.try_divide(total(F.transform(a, lambda x: (x - m) * (x - m))), F.size(a) - 1))))
 
 
 def describe(vec: Column) -> Column:
@@ -146,21 +155,32 @@ def dim_std(df: DataFrame, vec: str) -> DataFrame:
     return df.select(F.posexplode(doubles(F.col(vec))).alias("pos", "x")).groupBy("pos").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"))
 
 
+#: Bytes of voices that may be held as one array.
+MAX_VOICE_BYTES = 64 << 20
+
+
+def _all_voices(voices: DataFrame, name: str, vec: str) -> Column:
+    """All (name, vec) as one array, a scalar; an error where they are no small table."""
+    size = voices.agg(F.coalesce(F.sum(F.size(vec) * F.lit(8) + F.octet_length(F.col(name).cast("string"))), F.lit(0)).alias("bytes")).first()["bytes"]
+    if size > MAX_VOICE_BYTES:
+        raise ValueError(f"{size} bytes of voices; at most {MAX_VOICE_BYTES} are compared at once")
+    return voices.agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), F.col(vec).alias("vec")))).alias("c")).scalar()
+
+
 def pairwise_distances(voices: DataFrame, name: str, vec: str) -> DataFrame:
     """(a, b, distance) for a < b over a small set of pooled voices.
 
-    The candidates are one array of at most a few hundred vectors, made by an
-    aggregate and read as a scalar, so no rows are crossed.
+    The candidates are one array of checked size, made by an aggregate and read
+    as a scalar, so no rows are crossed.
     """
-    everyone = voices.agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), F.col(vec).alias("vec")))).alias("c"))
-    others = voices.select(F.col(name).alias("a"), F.col(vec).alias("va"), F.explode(everyone.scalar()).alias("o")).where("a < o.name")
+    others = voices.select(F.col(name).alias("a"), F.col(vec).alias("va"), F.explode(_all_voices(voices, name, vec)).alias("o")).where("a < o.name")
     return others.select("a", F.col("o.name").alias("b"), l2(F.col("va"), F.col("o.vec")).alias("distance"))
 
 
 def nearest(targets: DataFrame, voices: DataFrame, target_vec: str, name: str, vec: str, score=None) -> DataFrame:
     """Add best and best_score: the voice with the least mse - cosine, the first name on ties."""
     score = score or (lambda t, v: mse(t, v) - cosine(t, v))
-    candidates = voices.agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), F.col(vec).alias("vec")))).alias("c")).scalar()
+    candidates = _all_voices(voices, name, vec)
     best = F.array_min(F.transform(F.col("_candidates"), lambda c: F.struct(score(F.col(target_vec), c["vec"]).alias("score"), c["name"].alias("name"))))
     return targets.withColumn("_candidates", candidates).withColumn("_best", best).withColumn("best", F.col("_best.name")).withColumn("best_score", F.col("_best.score")).drop("_best", "_candidates")
 
@@ -187,13 +207,14 @@ def length_index(n: Column, rows: int = 510) -> Column:
     return F.greatest(F.lit(0), F.least(n - 1, F.lit(rows - 1)))
 
 
-def health_clamped(vec: Column, sd: Column, largest: Column, limit: float = 0.6) -> Column:
-    """Recentre and rescale a vector whose norm passes the limit, where its group is unstable."""
-    n = norm(vec)
-    centred = _centred(vec)
-    scale = F.try_divide(F.lit(limit), norm(centred))
-    bad = ((sd > 0.2) | (largest > 1.0)) & (n > limit)
-    return F.when(bad, F.transform(centred, lambda x: x * scale)).otherwise(vec)
+def health_clamped(half: Column, sd: Column, largest: Column, middle: Column, max_std: float = 0.2, target_std: float = 0.14) -> Column:
+    """One half of a voice, rescaled to ``target_std`` around ``middle`` where its table is unstable and its norm is over three times ``max_std``.
+
+    ``sd``, ``largest`` and ``middle`` are the sample deviation of the half's values, its largest norm and its mean over the whole voice.
+    """
+    bad = ((sd > max_std) | (largest > 5 * max_std)) & (norm(half) > 3 * max_std)
+    scaled = bound(half, lambda a: bound(F.lit(target_std) / (std_samp(a) + 1e-8), lambda scale: F.transform(_centred(a), lambda x: x * scale)))
+    return F.when(bad, bound(middle, lambda m: F.transform(scaled, lambda x: x + m))).otherwise(half)
 
 
 def preferred(available: DataFrame, name: str, preferences: list[str]) -> DataFrame:

@@ -13,17 +13,21 @@ from ..functions import plugins as P
 from ..functions import signal as G
 from ..streaming import monitor as M
 from . import bindings as B
+from .voices import FILTER_SQL
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared checkpoint folder, or a local one where none is set."""
+    """A new folder in the cluster's shared checkpoint folder; a local one only where none is set and the master is local."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="stream-")
 
 
 def _stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as they come, from one file or a folder of part files."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")  # a pattern, as a stream takes no single file
 
 
 def stream_dedup_keys(spark, sf):
@@ -59,8 +63,10 @@ def projected(spark, sf):
 
 
 def enhanced_levels(spark, sf):
-    clean = G.peak_normalize(G.trim_silence(G.remove_dc(F.col("vec")), -20.0))
-    return B.vectors(spark, sf).select("vec_id", F.round(G.peak(clean), 3).alias("peak"), (F.size(clean) > 0).alias("any"))
+    """Without offset and lowest frequencies, trimmed, at a peak of -3 dB."""
+    filtered = B.vectors(spark, sf).select("vec_id", G.high_pass(G.remove_dc(F.col("vec")), 24_000.0).alias("x"))
+    clean = filtered.select("vec_id", G.scaled_to_peak(G.trim_silence(F.col("x"), -20.0), -3.0).alias("x"))
+    return clean.select("vec_id", F.size("x").alias("n"), F.round(G.peak(F.col("x")), 6).alias("peak"), F.round(G.rms(F.col("x")), 6).alias("rms"))
 
 
 SQL = {
@@ -69,4 +75,9 @@ SQL = {
     "voice_activity": "WITH f AS (SELECT vec_id, i // 8 AS k, list_sum(list_transform(embedding[i + 1:i + 8], lambda x: x::DOUBLE * x::DOUBLE)) / 8 > 0.02 AS loud FROM (SELECT vec_id, embedding, unnest(range(0, 64, 8)) AS i FROM embeddings)), g AS (SELECT vec_id, k, k - row_number() OVER (PARTITION BY vec_id ORDER BY k) AS grp FROM f WHERE loud) SELECT vec_id, CAST(min(k) * 8 AS INTEGER) AS start, CAST(max(k) * 8 + 8 AS INTEGER) AS \"end\" FROM g GROUP BY vec_id, grp",
     "model_rows": "SELECT count(*) FILTER (m < 0.3) AS n, 'ok' AS state FROM (SELECT list_max(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS m FROM embeddings) UNION ALL SELECT count(*) FILTER (m >= 0.3), 'failed' FROM (SELECT list_max(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS m FROM embeddings)",
 }
-QUERIES = {name: globals()[name] for name in [*SQL, "projected", "enhanced_levels"]}
+SQL["enhanced_levels"] = f"""WITH {FILTER_SQL}, s AS (SELECT vec_id, j, x - avg(x) OVER (PARTITION BY vec_id) AS x FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS j FROM embeddings)),
+    y AS (SELECT vec_id, i, sum(w * x) AS x FROM s JOIN h USING (j) GROUP BY vec_id, i),
+    e AS (SELECT vec_id, min(i) FILTER (20 * log10(abs(x) + 1e-8) > -20) AS a, max(i) FILTER (20 * log10(abs(x) + 1e-8) > -20) AS b FROM y GROUP BY vec_id),
+    t AS (SELECT y.vec_id, x FROM y JOIN e ON e.vec_id = y.vec_id AND i BETWEEN coalesce(a, 0) AND coalesce(b, 63))
+    SELECT vec_id, CAST(count(*) AS INTEGER) AS n, round(max(abs(x)) * power(10, -3.0 / 20) / max(abs(x)), 6) AS peak, round(sqrt(avg(x * x)) * power(10, -3.0 / 20) / max(abs(x)), 6) AS rms FROM t GROUP BY vec_id"""
+QUERIES = {name: globals()[name] for name in [*SQL, "projected"]}

@@ -83,7 +83,9 @@ def token_id_lengths(spark, sf):
 def _log_lines(spark, sf):
     e = B.table(spark, sf, "events")
     line = F.format_string("[Epoch %d/50] Batch %d/200 | Loss: %.4f | Avg: %.4f | Text: Loss: none...", F.dayofmonth("ts"), F.col("event_id") % 200, F.floor("value") / 100.0, F.floor(F.col("value") / 2) / 100.0)
-    return e.select("event_id", F.when(F.col("event_type") == "error", F.lit("Training Loss: pending")).otherwise(line).alias("line"))
+    summary = F.format_string("Epoch %d/50 Summary:\n  Training Loss:    %.4f\n  Validation Loss:  %.4f", F.dayofmonth("ts"), F.floor("value") / 100.0, F.floor(F.col("value") / 2) / 100.0)
+    log = F.when(F.col("event_type") == "error", F.lit("Training Loss: pending")).when(F.col("event_type") == "signup", summary).otherwise(line)
+    return e.select("event_id", F.explode(T.joined_summaries(log)).alias("line"))
 
 
 def log_parse(spark, sf):
@@ -111,8 +113,8 @@ _SPELT = f"""{_WORDS}, parts AS (SELECT doc_id, unnest(regexp_split_to_array(tex
 spelt AS (SELECT doc_id, string_agg(piece || coalesce(words, ''), '' ORDER BY i) AS t FROM parts LEFT JOIN words USING (digits) GROUP BY doc_id)"""
 _TOKENS = r"(SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')) AS token FROM documents) GROUP BY token)"
 _HIST = f"(SELECT token, n, 100.0::DOUBLE * n / (SELECT sum(n) FROM {_TOKENS}) AS pct FROM {_TOKENS})"
-_VOWELS = ", ".join(f"'{v}'" for v in T.VOWELS)
-_CONSONANTS = ", ".join(f"'{v}'" for v in T.CONSONANTS)
+_VOWELS = "'i', 'ɪ', 'e', 'ɛ', 'æ', 'ɑ', 'ɔ', 'o', 'ʊ', 'u', 'ʌ', 'ə', 'ɚ', 'ɛɹ', 'aɪ', 'aʊ', 'ɔɪ'"
+_CONSONANTS = "'p', 'b', 't', 'd', 'k', 'g', 'f', 'v', 'θ', 'ð', 's', 'z', 'ʃ', 'ʒ', 'h', 'm', 'n', 'ŋ', 'l', 'ɹ', 'w', 'j'"
 _LINES = "(SELECT event_id, CASE WHEN event_type = 'error' THEN 'Training Loss: pending' ELSE printf('[Epoch %d/50] Batch %d/200 | Loss: %.4f | Avg: %.4f | Text: Loss: none...', dayofmonth(ts), event_id % 200, floor(value) / 100.0, floor(value / 2) / 100.0) END AS line FROM events)"
 
 SQL = {
@@ -130,9 +132,10 @@ SQL = {
     "url_parts": r"SELECT page_id, name, regexp_replace(name, '(.)\.[^.]*$', '\1') AS stem, regexp_extract(name, '.(\.[^.]*)$', 1) AS suffix, array_to_string(string_split(url, '/')[1:3], '/') AS site FROM (SELECT page_id, url, string_split(url, '/')[-1] AS name FROM pages)",
     "line_counts": "SELECT CASE WHEN starts_with(line, 'The') THEN 'the' WHEN ends_with(line, '.') THEN 'stop' WHEN contains(line, ',') THEN 'comma' ELSE 'other' END AS kind, count(*) AS n FROM (SELECT unnest(string_split(trim(text), chr(10))) AS line FROM documents) GROUP BY 1",
     "token_id_lengths": "SELECT doc_id, CAST(length(regexp_replace(text, '[^a-z ,.]', '', 'g')) + 2 AS INTEGER) AS n_ids FROM documents",
-    "log_parse": rf"""SELECT event_id, TRY_CAST(nullif(regexp_extract(line, '\[Epoch (\d+)/\d+\]', 1), '') AS INTEGER) AS epoch, TRY_CAST(nullif(regexp_extract(line, '\[Epoch \d+/(\d+)\]', 1), '') AS INTEGER) AS epochs,
-        TRY_CAST(nullif(regexp_extract(line, 'Batch (\d+)/\d+', 1), '') AS INTEGER) AS batch, TRY_CAST(nullif(regexp_extract(line, 'Batch \d+/(\d+)', 1), '') AS INTEGER) AS batches,
-        TRY_CAST(nullif(regexp_extract(line, '^[^|]*\| Loss: ([0-9.]+)', 1), '') AS DOUBLE) AS loss, TRY_CAST(nullif(regexp_extract(line, '^[^|]*\| Loss: [0-9.]+ \| Avg: ([0-9.]+)', 1), '') AS DOUBLE) AS avg FROM {_LINES}""",
+    "log_parse": """WITH e AS (SELECT event_id, event_type, CAST(dayofmonth(ts) AS INTEGER) AS epoch, CAST(event_id % 200 AS INTEGER) AS batch, floor(value) / 100.0 AS a, floor(value / 2) / 100.0 AS b FROM events)
+        SELECT event_id, CASE WHEN event_type = 'signup' THEN 'epoch' WHEN event_type <> 'error' THEN 'batch' END AS type, CASE WHEN event_type <> 'error' THEN epoch END AS epoch, CASE WHEN event_type <> 'error' THEN 50 END AS epochs,
+        CASE WHEN event_type NOT IN ('error', 'signup') THEN batch END AS batch, CASE WHEN event_type NOT IN ('error', 'signup') THEN 200 END AS batches, CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(printf('%.4f', a) AS DOUBLE) END AS loss,
+        CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(printf('%.4f', b) AS DOUBLE) END AS avg, CASE WHEN event_type = 'signup' THEN CAST(printf('%.4f', a) AS DOUBLE) END AS train_loss, CASE WHEN event_type = 'signup' THEN CAST(printf('%.4f', b) AS DOUBLE) END AS val_loss FROM e""",
     "json_props": "SELECT k % 10 AS k10, count(*) AS n, CAST(sum(k) AS BIGINT) AS total FROM (SELECT coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k FROM events) GROUP BY 1",
 }
 SQL["normalize_text_nfkc"] = SQL["normalize_text"]  # no text here changes under compatibility normalisation

@@ -115,10 +115,16 @@ def middle_row(spark, sf):
 
 
 def health_clamp(spark, sf):
-    v = B.vectors(spark, sf).withColumn("vec", F.transform(F.col("vec"), lambda x: x * 2))
-    stats = v.groupBy("label").agg(F.avg(V.std_pop(F.col("vec"))).alias("sd"), F.max(V.norm(F.col("vec"))).alias("most"))
-    c = v.join(stats, "label").withColumn("clamped", V.health_clamped(F.col("vec"), F.col("sd"), F.col("most")))
-    return c.select("vec_id", R(V.norm(F.col("clamped"))).alias("norm"), (R(V.mean(F.col("clamped"))) + 0.0).alias("mean"))
+    """Both halves of voices of twice the size, the style half moved to a mean of 0.05."""
+    v = B.vectors(spark, sf).select("vec_id", "label", *(h.alias(n) for h, n in zip(V.halves(F.transform(F.col("vec"), lambda x: x * 2), B.DIMS), ("timbre", "style"), strict=True)))
+    out = v
+    for half in ("timbre", "style"):
+        sd = v.select("label", F.explode(half).alias("x")).groupBy("label").agg(F.stddev_samp("x").alias(f"{half}_sd"))
+        most = v.groupBy("label").agg(F.max(V.norm(F.col(half))).alias(f"{half}_most"))
+        out = out.join(sd, "label").join(most, "label")
+    middle = {"timbre": F.lit(0.0), "style": F.lit(0.05)}
+    out = out.select("vec_id", *(V.health_clamped(F.col(h), F.col(f"{h}_sd"), F.col(f"{h}_most"), middle[h]).alias(h) for h in middle))
+    return out.select("vec_id", *(R(V.norm(F.col(h))).alias(f"{h}_norm") for h in middle), *((R(V.mean(F.col(h))) + 0.0).alias(f"{h}_mean") for h in middle))
 
 
 def pca_variance(spark, sf):
@@ -140,8 +146,10 @@ def frame_snr(spark, sf):
 
 
 def enhancement_choice(spark, sf):
-    m = B.vectors(spark, sf).select(G.frame_snr_db(F.col("vec"), 8).alias("snr"), (F.abs(G.dc_offset(F.col("vec"))) > 0.02).alias("dc"), G.silence_ratio(F.col("vec")).alias("silence"))
-    return m.groupBy(F.array_join(G.enhancement_methods(F.col("snr"), F.col("dc"), F.col("silence")), ",").alias("methods")).agg(F.count("*").alias("n"))
+    """Signals scaled by 1, 10 and 100, so that quiet and loud ones occur; the centroid is that of the samples, scaled to a frequency."""
+    v = B.vectors(spark, sf).withColumn("vec", F.transform(F.col("vec"), lambda x: x * F.pow(F.lit(10.0), F.col("label") % 3)))
+    m = v.select(G.level_db(F.col("vec")).alias("level"), (V.bin_centroid(F.transform(F.col("vec"), lambda x: F.abs(x))) * 80).alias("centroid"), G.rms(F.col("vec")).alias("rms"), G.silence_ratio(F.col("vec")).alias("silence"))
+    return m.groupBy(F.array_join(G.enhancement_methods(F.col("level"), F.col("centroid"), F.col("rms"), F.col("silence"), RATE), ",").alias("methods")).agg(F.count("*").alias("n"))
 
 
 def _long(df, column):
@@ -222,7 +230,7 @@ def resampled(spark, sf):
 
 
 def high_passed(spark, sf):
-    return B.vectors(spark, sf).select("vec_id", G.high_pass(F.col("vec"), RATE).alias("x"))
+    return _long(B.vectors(spark, sf), G.high_pass(F.col("vec"), RATE))
 
 
 def voice_features(spark, sf):
@@ -286,10 +294,17 @@ SQL = {
     "length_expand": f"SELECT label, CAST(i AS INTEGER) AS length_idx, round({_norm('vec')} * (1 + i / 510.0::DOUBLE * 0.05), 6) AS norm FROM {_VOICE}, range(0, 510) r(i)",
     "length_lookup": "SELECT doc_id, CAST(greatest(0, least(length(text) - 1, 509)) AS INTEGER) AS length_idx FROM documents",
     "middle_row": "SELECT label, vec_id FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, count(*) OVER (PARTITION BY label) // 2 AS mid FROM embeddings) WHERE i = mid",
-    "health_clamp": f"WITH v AS (SELECT vec_id, label, list_transform(vec, lambda x: x * 2) AS vec FROM {_V}), s AS (SELECT label, avg({_pop('vec')}) AS sd, max({_norm('vec')}) AS most FROM v GROUP BY label), c AS (SELECT vec_id, CASE WHEN (sd > 0.2 OR most > 1.0) AND {_norm('vec')} > 0.6 THEN list_transform(vec, lambda x: (x - list_avg(vec)) * 0.6 / {_norm(_CEN('vec'))}) ELSE vec END AS vec FROM v JOIN s USING (label)) SELECT vec_id, round({_norm('vec')}, 6) AS norm, round(list_sum(vec) / 64, 6) + 0.0 AS mean FROM c",
+    "health_clamp": f"""WITH h AS (SELECT vec_id, label, half, CASE WHEN half = 0 THEN 0.0 ELSE 0.05 END AS middle, list_transform(vec[half * 32 + 1:half * 32 + 32], lambda x: x * 2) AS v FROM {_V}, (SELECT unnest([0, 1]) AS half)),
+        s AS (SELECT label, half, stddev_samp(x) AS sd FROM (SELECT label, half, unnest(v) AS x FROM h) GROUP BY label, half),
+        n AS (SELECT label, half, max({_norm('v')}) AS most FROM h GROUP BY label, half),
+        c AS (SELECT vec_id, half, CASE WHEN (sd > 0.2 OR most > 1.0) AND {_norm('v')} > 0.6 THEN list_transform(v, lambda x: (x - list_avg(v)) * 0.14 / (list_stddev_samp(v) + 1e-8) + middle) ELSE v END AS v FROM h JOIN s USING (label, half) JOIN n USING (label, half))
+        SELECT t.vec_id, round({_norm('t.v')}, 6) AS timbre_norm, round({_norm('y.v')}, 6) AS style_norm, round(list_avg(t.v), 6) + 0.0 AS timbre_mean, round(list_avg(y.v), 6) + 0.0 AS style_mean FROM c t JOIN c y ON t.vec_id = y.vec_id AND t.half = 0 AND y.half = 1""",
     "signal_metrics": f"SELECT vec_id, round(peak, 6) AS peak, round(sqrt(ms), 6) AS rms, round(20 * log10(peak / (sqrt(ms) + 1e-8)), 6) AS dynamic_range_db, round(len(list_filter(vec, lambda x: abs(x) > 0.95)) / 64, 6) AS clipping_ratio, round(list_sum(vec) / 64, 6) AS dc_offset, round(len(list_filter(list_zip(sg[1:63], sg[2:64]), lambda p: p[1] <> p[2])) / 64, 6) AS zcr, round(len(list_filter(vec, lambda x: abs(x) < 0.01 * peak)) / 64, 6) AS silence_ratio, round(10 * log10(ms + 1e-10), 6) AS level_db, round(list_sum(list_transform(list_zip(sg[1:63], sg[2:64]), lambda p: abs(p[2] - p[1]) / 2)) / 63, 6) AS zcr_half FROM (SELECT vec_id, vec, {_PEAK} AS peak, {_MS} AS ms, {_SIG} AS sg FROM {_V})",
     "frame_snr": f"SELECT vec_id, round({_SNR}, 6) AS snr_db, round(20 * log10(list_sum(s[58:64]) / 7 / (list_sum(s[1:6]) / 6 + 1e-8)), 6) AS trimmed_db FROM (SELECT vec_id, vec, p, list_sort(list_transform(vec, lambda x: abs(x))) AS s FROM {_FRAMES}) GROUP BY vec_id, vec, s",
-    "enhancement_choice": f"SELECT concat_ws(',', CASE WHEN abs(dc) > 0.02 THEN 'remove_dc' END, CASE WHEN snr < 10 THEN 'strong_denoise' END, CASE WHEN snr BETWEEN 10 AND 20 THEN 'light_denoise' END, CASE WHEN silence > 0.3 THEN 'trim_silence' END, 'normalize') AS methods, count(*) AS n FROM (SELECT {_SNR} AS snr, list_sum(vec) / 64 AS dc, len(list_filter(vec, lambda x: abs(x) < 0.01 * {_PEAK})) / 64 AS silence FROM {_FRAMES} GROUP BY vec_id, vec) GROUP BY 1",
+    "enhancement_choice": f"""WITH v AS (SELECT list_transform(vec, lambda x: x * power(10.0, label % 3)) AS vec FROM {_V}),
+        m AS (SELECT 10 * log10({_MS} + 1e-10) AS level, 80 * list_sum(list_transform(list_zip(vec, range(64)), lambda p: abs(p[1]) * p[2])) / (list_sum(list_transform(vec, lambda x: abs(x))) + 1e-8) AS centroid, sqrt({_MS}) AS rms, len(list_filter(vec, lambda x: abs(x) < 0.01 * {_PEAK})) / 64 AS silence FROM v)
+        SELECT concat_ws(',', CASE WHEN level < 15 AND level < 12 THEN 'deepfilter' END, CASE WHEN level < 15 AND level < 5 THEN 'spectral_subtraction' END, CASE WHEN centroid < 24000 * 0.1 THEN 'resemble_enhance' END,
+        CASE WHEN rms < 0.1 OR silence > 0.3 THEN 'pitch_correction' END, CASE WHEN (rms < 0.1 OR silence > 0.3) AND rms < 0.05 THEN 'metricgan' END) AS methods, count(*) AS n FROM m GROUP BY 1""",
     "peak_normalized": _posx("list_transform(c, lambda x: x * power(10, -3.0 / 20) / list_max(list_transform(c, lambda y: abs(y))))", f"(SELECT vec_id, list_transform(vec, lambda x: x - list_sum(vec) / 64) AS c FROM {_V})"),
     "rms_normalized": _posx(f"list_transform(vec, lambda x: x * 0.1 / (sqrt(ms) + 1e-8))", f"(SELECT vec_id, vec, {_MS} AS ms FROM {_V})"),
     "loudness_normalized": _posx("list_transform(vec, lambda x: x * power(10, -0.1 / 20) / pk)", f"(SELECT vec_id, vec, {_PEAK} AS pk FROM {_V})"),
@@ -300,5 +315,10 @@ SQL = {
     "downmixed": _posx("list_transform(list_zip(vec[1:32], vec[33:64]), lambda p: (p[1] + p[2]) / 2)"),
     "signal_gate": f"SELECT concat_ws(',', CASE WHEN peak < 0.01 THEN 'too_quiet' WHEN peak > 0.99 THEN 'clipping' END, CASE WHEN snr < 6 THEN 'low_snr' END, CASE WHEN abs(dc) > 0.03 THEN 'dc_offset' END) AS issues, count(*) AS n FROM (SELECT {_SNR} AS snr, {_PEAK} AS peak, list_sum(vec) / 64 AS dc FROM {_FRAMES} GROUP BY vec_id, vec) GROUP BY 1",
 }
-_ROWS_ONLY = ["pca_variance", "spectral_ratios", "pitch_stats", "log_mel", "stft_centroid", "log_spectra", "spectral_subtraction", "resampled", "high_passed", "voice_features"]
+_SIGNAL = "(SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS j FROM embeddings)"
+#: The zero-phase filter as a matrix: the response at the frequencies of the signal followed by its mirror image.
+FILTER_SQL = """f AS (SELECT k, power(least(k, 128 - k) * 24000.0 / 128 / 80, 8) / (1 + power(least(k, 128 - k) * 24000.0 / 128 / 80, 8)) AS r FROM (SELECT unnest(range(128)) AS k)),
+    h AS (SELECT i, j, sum(r * (cos(2 * pi() * k * (i - j) / 128) + cos(2 * pi() * k * (i + j + 1) / 128))) / 128 AS w FROM f, (SELECT unnest(range(64)) AS i), (SELECT unnest(range(64)) AS j) GROUP BY i, j)"""
+SQL["high_passed"] = f"WITH {FILTER_SQL} SELECT vec_id, CAST(i AS INTEGER) AS pos, round(sum(w * x), 6) + 0.0 AS x FROM {_SIGNAL} JOIN h USING (j) GROUP BY vec_id, i"
+_ROWS_ONLY = ["pca_variance", "spectral_ratios", "pitch_stats", "log_mel", "stft_centroid", "log_spectra", "spectral_subtraction", "resampled", "voice_features"]
 QUERIES = {name: globals()[name] for name in [*SQL, *_ROWS_ONLY]}

@@ -22,13 +22,41 @@ def parsed(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(parse_log_line(F.col(column)).alias("p")).select("p.*").where("epoch IS NOT NULL AND loss IS NOT NULL")
 
 
-def first_of_epoch(lines: DataFrame) -> DataFrame:
-    """One row for each (epoch, batch), the first that arrives."""
-    return lines.dropDuplicates(["epoch", "batch"])
+def first_of_epoch(lines: DataFrame, ts: str | None = None, late: str = "1 hour") -> DataFrame:
+    """One row for each (epoch, batch), the first that arrives.
+
+    With an arrival time the state of a key is dropped once the watermark is
+    ``late`` behind it; without one it is kept for the life of the query, which
+    is bounded by the batches of a run.
+    """
+    if ts is None:
+        return lines.dropDuplicates(["epoch", "batch"])
+    return lines.withWatermark(ts, late).dropDuplicatesWithinWatermark(["epoch", "batch"])
+
+
+def rolling_mean(lines: DataFrame, run: str, order: str, value: str, n: int = 100) -> DataFrame:
+    """(run, last, mean, n) of the latest ``n`` values of each run, after every batch: a bounded buffer as state."""
+
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        orders, values = (list(x) for x in state.get) if state.exists else ([], [])
+        for rows in batches:
+            orders += rows[order].astype("int64").tolist()
+            values += rows[value].astype(float).tolist()
+        kept = sorted(zip(orders, values, strict=True))[-n:]
+        state.update(([o for o, _ in kept], [v for _, v in kept]))
+        yield pd.DataFrame({"run": [str(key[0])], "last": [kept[-1][0]], "mean": [sum(v for _, v in kept) / len(kept)], "n": [len(kept)]})
+
+    return lines.groupBy(run).applyInPandasWithState(update, "run string, last long, mean double, n long", "orders array<long>, values array<double>", "update", GroupStateTimeout.NoTimeout)
+
+
+def new_files(spark: SparkSession, folder: str, pattern: str = "*", each: int = 1) -> DataFrame:
+    """Whole files (path, content and time) as they arrive, at most ``each`` a batch; the query's checkpoint keeps which are done."""
+    return spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", pattern).option("maxFilesPerTrigger", each).load(folder)
 
 
 def latest_by_tag(events: DataFrame, tag: str, order: str, value: str) -> DataFrame:
-    return events.groupBy(tag).agg(F.max_by(value, order).alias("latest"), F.max(order).alias("at"))
+    """The value of the latest row of each tag; of rows that are equally late the largest value."""
+    return events.groupBy(tag).agg(F.max(F.struct(F.col(order).alias("at"), F.col(value).alias("latest"))).alias("r")).select(tag, "r.latest", "r.at")
 
 
 def activity(events: DataFrame, group: str, ts: str, gap: str, late: str) -> DataFrame:
