@@ -21,8 +21,19 @@ def shuffle_key(identity: Column, seed: int) -> Column:
     return F.md5(F.concat(identity.cast("string"), F.lit(f":{seed}")).cast("binary"))
 
 
-def numbered(df: DataFrame, order_key: Column, tie: str, name: str = "rn", digits: int = 2) -> DataFrame:
-    """Global row number from 1 in the order of a hexadecimal key, then ``tie``."""
+#: Rows that a bucket of the numbering stands for.
+BUCKET_ROWS = 100_000
+
+
+def numbered(df: DataFrame, order_key: Column, tie: str, name: str = "rn", digits: int | None = None) -> DataFrame:
+    """Global row number from 1 in the order of a hexadecimal key, then ``tie``.
+
+    Without ``digits`` the buckets follow the number of rows; their counts are broadcast.
+    """
+    if digits is None:
+        digits, rows = 2, df.count()
+        while rows > BUCKET_ROWS * 16**digits and digits < 5:
+            digits += 1
     keyed = df.withColumn("_key", order_key).withColumn("_bucket", F.substring("_key", 1, digits))
     counts = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))  # at most 16 ** digits rows
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -51,9 +62,9 @@ def split_stats(df: DataFrame, duration: str = "duration") -> DataFrame:
 
 
 def segment_names(df: DataFrame, order: str) -> DataFrame:
-    """Zero-padded names that restart in each split, and a global one; the order inside a split is by ``order``."""
-    inside = F.row_number().over(Window.partitionBy("split").orderBy(order))
-    return df.withColumn("split_name", F.format_string("segment_%05d.wav", inside - 1))
+    """Zero-padded names that restart in each split; ``order`` numbers all rows, and a split's rows follow each other in it."""
+    first = df.groupBy("split").agg(F.min(order).alias("_first"))  # splits are runs of consecutive numbers
+    return df.join(F.broadcast(first), "split").withColumn("split_name", F.format_string("segment_%05d.wav", F.col(order) - F.col("_first"))).drop("_first")
 
 
 def sample_k(df: DataFrame, id_col: str, k: int, seed: int = 42) -> DataFrame:

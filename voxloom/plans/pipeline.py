@@ -33,7 +33,7 @@ class Run:
             return self.spark.createDataFrame([], LOG)
 
     def committed(self) -> dict[str, str]:
-        return {r["stage"]: r["path"] for r in self.log().groupBy("stage").agg(F.max_by("path", "at").alias("path")).limit(1000).collect()}
+        return {r["stage"]: r["path"] for r in self.log().groupBy("stage").agg(F.max_by("path", "at").alias("path")).collect()}  # a row for each stage
 
     def execute(self, source: DataFrame, restart: bool = False) -> DataFrame:
         """Run what isn't committed yet (all with ``restart``) and return the last stage's result."""
