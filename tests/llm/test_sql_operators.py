@@ -1,10 +1,11 @@
 """Operators that SQL can express, on a table of edge cases: the driver's SQL is the brute-force version."""
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxloom.llm import common, decontamination, exact_dedup, near_dedup, substring_dedup, suffix_dedup
+from voxloom.llm import common, decontamination, exact_dedup, near_dedup, repeats, substring_dedup, suffix_dedup
 
 P = " ".join(f"w{i}" for i in range(60))
 Q = " ".join(f"q{i} é" for i in range(40))
@@ -62,6 +63,33 @@ def test_repeats_with_shared_and_null_ids(spark):
         assert got == [(7, 0), (7, 0), (99, 60)]
 
 
+def test_repeats_in_two_steps_equal_those_in_one(spark, sf_dir, monkeypatch):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    for operator in (substring_dedup.substring_dedup, suffix_dedup.suffix_dedup):
+        want = sorted(map(str, operator(docs).drop("text").collect()))
+        with monkeypatch.context() as m:
+            m.setattr(repeats, "FAN", 8)
+            m.setattr(repeats, "REPACK", 5_000)
+            assert sorted(map(str, operator(docs).drop("text").collect())) == want
+
+
+def test_windows_whose_first_hash_collides_stay(spark, monkeypatch):
+    plain = repeats.word_hashes
+    monkeypatch.setattr(repeats, "word_hashes", lambda words, second=False: plain(words, True) if second else plain(words) & np.uint64(3))
+    texts = [" ".join(f"{c}{i % 7}" for i in range(70)) for c in "abcdefgh"]
+    chunk, _ = repeats.chunk_of([t.encode() for t in texts], twice=True)
+    prints, valid = chunk.long_prints(50)
+    rows = list(repeats.offer(np.repeat(np.arange(8), chunk.counts)[valid], prints[valid], np.zeros(valid.sum(), bool), 1, 1, True))
+    assert not [r for r in repeats.meet([r[1:] for r in rows], True)]
+
+
+def test_removed_runs_are_maximal(spark):
+    docs = spark.createDataFrame([(1, P), (2, "x " + P + " y " + P)], "doc_id long, text string")
+    for operator in (substring_dedup.substring_dedup, suffix_dedup.suffix_dedup):
+        rows = {r["doc_id"]: [tuple(x) for x in r["removed_words"]] for r in operator(docs).collect()}
+        assert rows == {1: [], 2: [(1, 61), (62, 122)]}
+
+
 def test_decontamination_blocks_and_offsets(spark):
     docs = spark.createDataFrame([(1, "É: One, two  THREE four five six seven eight nine TEN! w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11"), (2, None)], "doc_id long, text string")
     items = spark.createDataFrame(BENCH, "item_id long, text string")
@@ -73,6 +101,16 @@ def test_decontamination_blocks_and_offsets(spark):
     assert [row["text"][s["start"] : s["end"]] for s in row["hit_chars"]] == [row["text"][3:]]
     empty = decontamination.decontaminate(docs, items.limit(0)).collect()
     assert all(r["n_hit"] == 0 for r in empty)
+    assert decontamination.decontaminate(docs.limit(0), items).count() == 0
+    with pytest.raises(ValueError):
+        decontamination.decontaminate(docs.withColumnRenamed("doc_id", "items"), items)
+
+
+def test_a_benchmark_beyond_its_bound_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "MAX_BENCHMARK_BYTES", 10)
+    items = spark.createDataFrame(BENCH, "item_id long, text string")
+    with pytest.raises(ValueError):
+        decontamination.decontaminate(items, items)
 
 
 def test_bloom_filter_of_any_size_gives_the_same_groups(spark, sf_dir):

@@ -5,12 +5,18 @@ words (a shorter text as a whole) is a pattern of the automaton.  A document is
 normalised to the same form, scanned once, and hits are mapped back to word
 numbers and to character offsets of the original text.  Each row is judged on
 its own, so there is no shuffle.
+
+What is broadcast are the benchmark's words, of checked size; a worker makes the
+automaton from them, once, and holds no more than one of ``MAX_PATTERNS``
+patterns at a time (about 3 KB each).  A larger benchmark is cut by ranges of
+its windows: the texts are still read once, and each batch of them is scanned
+by the automata of the ranges, one after another.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,8 +30,9 @@ from . import common
 WORD = re.compile(common.ALNUM_WORD_ANY_CASE)
 #: Bytes that are no part of a word become spaces, A-Z become lower case; UTF-8 bytes over 0x7F stay.
 BYTE_MAP = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
-#: Patterns of one automaton; more are scanned in further passes.
+#: Patterns of one automaton, and UTF-8 bytes of a benchmark.
 MAX_PATTERNS = 50_000
+MAX_BENCHMARK_BYTES = 256 << 20
 RESULT = "n_words long, n_hit long, items array<string>, hit_words array<struct<first:long,end:long>>, hit_chars array<struct<start:long,end:long>>"
 
 
@@ -33,16 +40,20 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(BYTE_MAP).split()
 
 
-def patterns_of(items: Iterator[tuple], window: int) -> dict[str, tuple[int, list[str]]]:
-    """Pattern -> its number of words and the items it comes from."""
+def blocks_of(items: list[tuple[str, bytes]], window: int, max_patterns: int) -> Iterator[dict[str, tuple[int, list[str]]]]:
+    """Pattern -> its number of words and the items it comes from, at most ``max_patterns`` at once; a pattern may come again in another block."""
     found: dict[str, tuple[int, set[str]]] = {}
-    for item, text in items:
-        words = words_of(text or "")
+    closed = lambda: {k: (n, sorted(ids)) for k, (n, ids) in found.items()}
+    for item, line in items:
+        words = line.split()
         n = min(window, len(words))
         for i in range(len(words) - n + 1) if n else ():
             key = (b" " + b" ".join(words[i : i + n]) + b" ").decode("latin-1")
-            found.setdefault(key, (n, set()))[1].add(str(item))
-    return {k: (n, sorted(ids)) for k, (n, ids) in found.items()}
+            if len(found) == max_patterns and key not in found:
+                yield closed()
+                found.clear()
+            found.setdefault(key, (n, set()))[1].add(item)
+    yield closed()
 
 
 def automaton_of(patterns: dict[str, tuple[int, list[str]]]) -> ahocorasick.Automaton:
@@ -79,30 +90,34 @@ def scan(text: str | None, automaton: ahocorasick.Automaton, before: dict | None
 
 
 RESULT_TYPE = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("hit_words", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), ("hit_chars", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
-_built: dict[int, ahocorasick.Automaton] = {}
-
-
-def _scanner(shared):
-    """One pass over the texts; shared: the broadcast patterns, of which a worker builds the automaton once."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
-
-    def automaton() -> ahocorasick.Automaton:
-        if key not in _built:
-            _built.clear()
-            _built[key] = automaton_of(shared.value)
-        return _built[key]
-
-    @F.arrow_udf(RESULT)
-    def first(texts: pa.Array) -> pa.Array:
-        a = automaton()
-        return pa.array([scan(t.as_py(), a) for t in texts], RESULT_TYPE)
+_built: dict[str, ahocorasick.Automaton] = {}
+
+
+def _scanner(shared, window: int, max_patterns: int):
+    """One pass over the texts; shared: the broadcast words of the benchmark."""
+    key = uuid.uuid4().hex
+
+    def automata() -> Iterator[ahocorasick.Automaton]:
+        if key in _built:
+            yield _built[key]
+            return
+        _built.clear()
+        for k, block in enumerate(blocks_of(shared.value, window, max_patterns)):
+            if k:
+                _built.clear()  # only an automaton that is the only one is kept
+            automaton = automaton_of(block)
+            if not k:
+                _built[key] = automaton
+            yield automaton
 
     @F.arrow_udf(RESULT)
-    def later(texts: pa.Array, before: pa.Array) -> pa.Array:
-        a = automaton()
-        return pa.array([scan(t.as_py(), a, b.as_py()) for t, b in zip(texts, before, strict=True)], RESULT_TYPE)
+    def scanned(texts: pa.Array) -> pa.Array:
+        found: list[dict | None] = [None] * len(texts)
+        for automaton in automata():
+            found = [scan(t.as_py(), automaton, b) for t, b in zip(texts, found, strict=True)]
+        return pa.array(found, RESULT_TYPE)
 
-    return first, later
+    return scanned
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", max_patterns: int = MAX_PATTERNS) -> DataFrame:
@@ -113,26 +128,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text:
     have no window, repeated benchmark rows count once for each item id (a null
     id reads ``None``).  An empty benchmark hits nothing.  hit_words and
     hit_chars are merged half-open ranges, in words from 0 and in code points
-    of the original text.  Columns named like the added ones are an error.
+    of the original text.  An empty table gives no rows.  Columns named like the
+    added ones are an error.
 
-    The benchmark is the stated query set.  Its windows are broadcast in blocks
-    of at most ``max_patterns``, one automaton and one pass for each block.
+    The benchmark is the stated query set; one of over ``MAX_BENCHMARK_BYTES`` is an error.
     """
     common.require_absent(docs, "n_words", "n_hit", "items", "hit_words", "hit_chars")
     found = common.fresh_name(docs, "found")
-    blocks, block = [], defaultdict(lambda: (0, []))
-    patterns = patterns_of(((r[0], r[1]) for r in benchmark.select(item_id, item_text).toLocalIterator()), window)
-    for key, value in patterns.items():
-        block[key] = value
-        if len(block) == max_patterns:
-            blocks.append(dict(block))
-            block.clear()
-    blocks += [dict(block)] if block or not blocks else []
-    context = docs.sparkSession.sparkContext
-    for k, part in enumerate(blocks):
-        first, later = _scanner(context.broadcast(part))
-        docs = docs.withColumn(found, first(F.col(text)) if k == 0 else later(F.col(text), F.col(found)))
-    return docs.select(*(c for c in docs.columns if c != found), f"{found}.*")
+    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0)).alias("n")).first()["n"]
+    if size > MAX_BENCHMARK_BYTES:
+        raise ValueError(f"a benchmark of {size} bytes; at most {MAX_BENCHMARK_BYTES} are broadcast")
+    items = [(str(r[0]), b" ".join(words_of(r[1] or ""))) for r in benchmark.select(item_id, item_text).distinct().toLocalIterator()]
+    scanned = _scanner(docs.sparkSession.sparkContext.broadcast(items), window, max_patterns)
+    return docs.withColumn(found, scanned(F.col(text))).select(*docs.columns, f"{found}.*")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

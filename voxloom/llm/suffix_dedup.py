@@ -40,7 +40,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     """Remove every word covered by a 50-word window that also starts in a document with a smaller id.
 
     The rules for words, nulls, short texts and repeated or null ids are those of
-    ``substring_dedup``; adds n_words, n_removed and kept_text.
+    ``substring_dedup``; adds n_words, n_removed, kept_text and removed_words.
     """
     return repeats.remove_repeats(docs, minimisers, text=text, id_col=id_col)
 
