@@ -1,5 +1,7 @@
 import re
+from collections import namedtuple
 
+import pytest
 from pyspark.sql import functions as F
 
 from voxloom.llm import license_scan as ls
@@ -58,6 +60,40 @@ def test_every_keyword_passes_the_gate(spark):
     assert ls.license_scan(docs).count() == 0
 
 
+def raw_detections(text):
+    """Every rule on the whole text, with Python's regular expressions."""
+    out = []
+    for rule in ls.default_rules():
+        out += [Detection(*m.span(), rule.priority, rule.name, rule.label) for m in re.finditer(rule.regex, text, re.IGNORECASE | re.ASCII)]
+    return out
+
+
+Detection = namedtuple("Detection", "start end priority rule label")
+
+
+def test_what_is_left_of_all_detections(spark):
+    texts = [
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. MIT License, BSD 3-clause license",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published, either version 3 of the License, or (at your option) any later version. GNU Lesser General Public License, version 2.1",
+        "Copyright (c) 2019. All rights reserved. Permission is hereby granted, free of charge, to any person obtaining a copy. licensed under the MIT License is licensed under the MIT license",
+        "SPDX-License-Identifier: Apache-2.0 SPDX-License-Identifier: MIT\nproprietary and confidential, GPLv2 gpl-2.0-or-later",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in ls.license_scan(docs).collect():
+        found = raw_detections(texts[r["doc_id"]])
+        want = suppressed(found)
+        assert len(found) >= len(want) > 1
+        assert sorted(tuple(d) for d in r["detections"]) == sorted(tuple(d) for d in want)
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "MIT License"), (1, "MIT License"), (None, None)], "doc_id long, text string")
+    rows = ls.license_scan(docs).collect()
+    assert len(rows) == 3 and rows[0] == rows[1]
+    with pytest.raises(ValueError):
+        ls.license_scan(docs.withColumnRenamed("doc_id", "score"))
+
+
 def samples(parsed):
     """Strings that a regular expression matches: every alternative, white space as a line break, repeats at their least and once more."""
     out = [""]
@@ -69,11 +105,13 @@ def samples(parsed):
             new = [x for p in arg[1] for x in samples(p)]
         elif name == "SUBPATTERN":
             new = samples(arg[3])
-        elif name in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+        elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
             one = samples(arg[2])
             new = [x * n for n in sorted({arg[0], max(arg[0], 1)}) for x in one]
         elif name == "IN":
             new = ["\n" if str(o) == "CATEGORY" and str(a) == "CATEGORY_SPACE" else "w" if str(o) == "CATEGORY" else chr(a[0]) if str(o) == "RANGE" else chr(a) for o, a in arg]
+        elif name in ("ANY", "NOT_LITERAL"):
+            new = ["w"]
         elif name == "AT":
             new = [""]
         else:
@@ -99,6 +137,13 @@ def test_forms_that_the_prefilter_dropped(spark):
         "GNU General\n    Public License,\n    version 3": "gpl-3",
         "released into the\npublic\n domain": "public-domain",
         "All rights\nreserved": "proprietary",
+        "Permission is hereby granted, free of charge, to any\nperson obtaining a copy": "mit",
+        "// Redistribution and use in source and\n// binary forms": "bsd",
+        "the Mozilla\n# Public License, version 2.0": "mpl-2.0",
+        "Apache\nLicense, Version 2.0": "apache-2.0",
+        " * You may not use this file except in\n * compliance with the License.": "apache-2.0",
+        "This is free and unencumbered software\n> released into the public domain.": "unlicense",
+        "Origin: the origin of this\r\n;; software must not be misrepresented": "zlib",
     }
     docs = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
     for r in ls.license_scan(docs).collect():

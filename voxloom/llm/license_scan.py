@@ -1,7 +1,9 @@
 """License scanning with ordered signature rules (DataFrame functions only).
 
-Each rule is a regular expression with keywords, a priority and a label.  A
-text is first tested for a few gate keywords; in a text that has one, the rules
+Each rule is a regular expression with keywords, a priority and a label: the
+sentences by which licenses are known, written out by hand, and the forms in
+which licenses are named, made from a table of their names.  A text is first
+tested for a few gate keywords; in a text that has one, the rules
 of which a keyword occurs are run, and a detection is suppressed when it lies
 inside the interval of another of the same or a stronger priority.
 """
@@ -98,19 +100,129 @@ NOTICES = [
 ]
 
 
-#: One of these occurs in every text that a rule of a family matches; a notice has its keywords.
-GATE = sorted({"licens", "licenc"} | {k for r in NOTICES for k in r.keywords if "licens" not in k})
+#: Sentences that stand in the licenses themselves or in their notices (name, label, priority, keyword, regular expression).
+SIGNATURES = [
+    Rule(name, label, priority, (keyword,), regex)
+    for name, label, priority, keyword, regex in [
+        ("mit-deal", "mit", 0, "restriction", r"to deal in the software without restriction, including without limitation the rights"),
+        ("mit-notice", "mit", 1, "substantial", r"shall be included in all copies or substantial portions of the software"),
+        ("mit-holders", "mit", 1, "liable", r"in no event shall the authors or copyright holders be liable for any claim"),
+        ("x11-name", "mit", 1, "consortium", r"except as contained in this notice, the names? of the x consortium shall not be used"),
+        ("mit-0", "mit-0", 0, "mit-0", r"\bmit-0\b"),
+        ("mit-no-attribution", "mit-0", 0, "attribution", r"\bmit no attribution\b"),
+        ("bsd-source", "bsd", 0, "redistributions", r"redistributions of source code must retain the above copyright notice"),
+        ("bsd-binary", "bsd", 0, "reproduce", r"redistributions in binary form must reproduce the above copyright notice"),
+        ("bsd-endorse", "bsd-3", 0, "endorse", r"may be used to endorse or promote products derived from this software without specific prior written permission"),
+        ("bsd-advert", "bsd-4", 0, "advertising", r"all advertising materials mentioning features or use of this software must display"),
+        ("bsd-0", "bsd-0", 0, "hereby", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee is hereby granted\."),
+        ("bsd-regents", "bsd", 1, "regents", r"the regents of the university of california"),
+        ("bsd-disclaimer", "bsd", 1, "contributors", r"this software is provided by the (?:copyright holders|regents) and contributors"),
+        ("isc-fee", "isc", 1, "hereby", r"with or without fee is hereby granted, provided that the above copyright notice"),
+        ("isc-disclaims", "isc", 1, "disclaims", r"the author disclaims all warranties with regard to this software"),
+        ("apache-compliance", "apache-2.0", 0, "compliance", r"you may not use this file except in compliance with the license"),
+        ("apache-basis", "apache-2.0", 1, "basis", r"distributed on an \"as is\" basis, without warranties or conditions of any kind"),
+        ("apache-contributor", "apache-2.0", 1, "contributor", r"licensed to the apache software foundation \(asf\) under one or more contributor"),
+        ("apache-1-ack", "apache-1.1", 0, "foundation", r"this product includes software developed by the apache software foundation"),
+        ("apache-perpetual", "apache-2.0", 0, "perpetual", r"perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable (?:copyright|patent) license"),
+        ("gpl-free", "gpl", 0, "redistribute", r"is free software[:;,] you can redistribute it and/or modify"),
+        ("gpl-hope", "gpl", 1, "hope", r"is distributed in the hope that it will be useful"),
+        ("gpl-later", "gpl", 1, "option)", r"or \(at your option\) any later version"),
+        ("gpl-received", "gpl", 1, "received", r"you should have received a copy of the gnu general public license"),
+        ("gpl-preamble", "gpl", 0, "freedom", r"licenses for most software are designed to take away your freedom"),
+        ("gpl-copyleft", "gpl", 0, "copyleft", r"the gnu general public license is a free, copyleft license"),
+        ("gpl-only", "gpl-2", 0, "gpl-2.0", r"\bgpl-2\.0(?:-only|-or-later|\+)"),
+        ("gpl3-only", "gpl-3", 0, "gpl-3.0", r"\bgpl-3\.0(?:-only|-or-later|\+)"),
+        ("gplv2", "gpl-2", 1, "gplv2", r"\bgplv2\b"),
+        ("gplv3", "gpl-3", 1, "gplv3", r"\bgplv3\b"),
+        ("lgplv2", "lgpl-2.1", 1, "lgplv2", r"\blgplv2(?:\.1)?\b"),
+        ("lgplv3", "lgpl-3", 1, "lgplv3", r"\blgplv3\b"),
+        ("lgpl-received", "lgpl", 1, "received", r"you should have received a copy of the gnu (?:lesser|library) general public license"),
+        ("lgpl-linking", "lgpl", 0, "linking", r"as a special exception, .{0,80}?linking (?:this library|the library) statically or dynamically"),
+        ("agpl-network", "agpl", 0, "remotely", r"all users interacting with it remotely through a computer network"),
+        ("agplv3", "agpl-3", 1, "agplv3", r"\bagplv3\b"),
+        ("gfdl-invariant", "gfdl", 0, "invariant", r"with no invariant sections, (?:with )?no front-cover texts,? and (?:with )?no back-cover texts"),
+        ("gfdl-copy", "gfdl", 0, "document", r"permission is granted to copy, distribute and/or modify this document under the terms of the gnu free documentation"),
+        ("mpl-notice", "mpl-2.0", 0, "obtain", r"if a copy of the mpl was not distributed with this file, you can obtain one at"),
+        ("mpl-subject", "mpl-2.0", 0, "subject", r"this source code form is subject to the terms of the mozilla public license"),
+        ("mpl-1-contents", "mpl-1.1", 0, "contents", r"the contents of this file are subject to the mozilla public license version 1\.1"),
+        ("mpl-url", "mpl", 1, "mozilla.org", r"https?://(?:www\.)?mozilla\.org/mpl/[0-9.]*"),
+        ("mpl-incompatible", "mpl-2.0", 1, "incompatible", r"incompatible with secondary licenses"),
+        ("epl-accompanying", "epl", 0, "accompanying", r"the accompanying materials are made available under the terms of the eclipse public license"),
+        ("epl-url", "epl", 1, "eclipse.org/legal", r"https?://(?:www\.)?eclipse\.org/legal/epl-[a-z0-9.-]+"),
+        ("cddl-contents", "cddl", 0, "development", r"subject to the terms of the common development and distribution license"),
+        ("cddl-file", "cddl", 1, "usr/src", r"you can obtain a copy of the license at usr/src/opensolaris\.license"),
+        ("eupl-licensed", "eupl", 0, "eupl", r"licensed under the eupl\b"),
+        ("zlib-express", "zlib", 0, "express", r"this software is provided 'as-is', without any express or implied warranty"),
+        ("zlib-origin", "zlib", 0, "misrepresented", r"the origin of this software must not be misrepresented"),
+        ("zlib-altered", "zlib", 1, "altered", r"altered source versions must be plainly marked as such"),
+        ("boost-grant", "boost", 0, "organization", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy"),
+        ("boost-url", "boost-1.0", 0, "boost.org", r"https?://(?:www\.)?boost\.org/license_1_0\.txt"),
+        ("artistic-intent", "artistic", 0, "intent", r"the intent of this document is to state the conditions under which a package may be copied"),
+        ("perl-terms", "artistic", 1, "perl", r"under the same terms as perl itself"),
+        ("python-psf", "python", 0, "licensee", r"psf hereby grants licensee a nonexclusive, royalty-free, world-wide license"),
+        ("ruby-terms", "ruby", 1, "ruby", r"under the same terms as ruby\b"),
+        ("php-url", "php", 0, "php.net/license", r"https?://(?:www\.)?php\.net/license/[0-9a-z_.]+"),
+        ("unlicense-free", "unlicense", 0, "unencumbered", r"this is free and unencumbered software released into the public domain"),
+        ("unlicense-anyone", "unlicense", 1, "anyone", r"anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
+        ("unlicense-url", "unlicense", 1, "unlicense.org", r"https?://(?:www\.)?unlicense\.org"),
+        ("openssl-ack", "openssl", 0, "toolkit", r"this product includes software developed by the openssl project for use in the openssl toolkit"),
+        ("ssleay-ack", "openssl", 0, "cryptographic", r"this product includes cryptographic software written by eric young"),
+        ("postgres-regents", "postgresql", 0, "agreement", r"permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement"),
+        ("hpnd-grant", "hpnd", 0, "documentation", r"permission to use, copy, modify,? and distribute this software and its documentation for any purpose and without fee"),
+        ("ntp-grant", "ntp", 1, "representations", r"makes no representations about the suitability (?:of )?this software for any purpose"),
+        ("curl-notice", "curl", 0, "holder", r"except as contained in this notice, the name of a copyright holder shall not be used in advertising"),
+        ("libpng-notice", "libpng", 0, "png", r"the png reference library is supplied \"as is\""),
+        ("jpeg-ack", "ijg", 0, "independent", r"this software is based in part on the work of the independent jpeg group"),
+        ("freetype-ack", "freetype", 0, "freetype", r"portions of this software are copyright .{0,60}?the freetype project"),
+        ("imagemagick", "imagemagick", 0, "imagemagick", r"\bimagemagick license\b"),
+        ("w3c-notice", "w3c", 0, "w3c", r"\bw3c(?:\(r\)|®)? software (?:and document )?(?:notice and )?license\b"),
+        ("unicode-data", "unicode", 0, "unicode", r"obtaining a copy of the unicode data files"),
+        ("ofl-reserved", "ofl", 0, "reserved", r"with reserved font names? "),
+        ("ofl-sold", "ofl", 0, "itself", r"neither the font software nor any of its individual components.{0,60}? may be sold by itself"),
+        ("cc-by-notice", "cc-by", 1, "commons", r"licensed under (?:a|the) creative commons attribution(?: [0-9.]+)? (?:international|unported|generic)"),
+        ("cc-short", "creative-commons", 1, "cc-by", r"\bcc-by(?:-(?:nc|nd|sa))*[- ][1-4]\.0\b"),
+        ("cc0-waive", "cc0", 0, "waived", r"has waived all copyright and related or neighboring rights"),
+        ("odc-by", "odc-by", 0, "commons", r"\bopen data commons attribution license\b"),
+        ("odc-pddl", "pddl", 0, "dedication", r"\bopen data commons public domain dedication\b"),
+        ("ms-rl-short", "ms-rl", 1, "ms-rl", r"\bms-rl\b"),
+        ("busl-change", "busl", 0, "change", r"\bchange date: .{0,40}?change license: "),
+        ("busl-grant", "busl", 1, "non-production", r"make non-production use of the licensed work"),
+        ("elastic-may", "elastic", 0, "hosted", r"you may not provide the software to third parties as a hosted or managed service"),
+        ("commons-clause", "commons-clause", 0, "clause", r"\bcommons clause\b"),
+        ("json-good", "json", 0, "evil", r"the software shall be used for good, not evil"),
+        ("beerware", "beerware", 0, "beer", r"you can buy me a beer in return"),
+        ("llama-community", "llama", 0, "llama", r"\bllama [0-9.]+ (?:community )?license agreement\b"),
+        ("openrail", "openrail", 0, "openrail", r"\b(?:creativeml |bigscience )?openrail(?:\+\+|-m)?\b"),
+        ("all-permissive", "fsf-all-permissive", 0, "copying", r"copying and distribution of this file, with or without modification, are permitted in any medium"),
+        ("proprietary-confidential", "proprietary", 1, "confidential", r"\bproprietary and confidential\b"),
+        ("proprietary-unauthorized", "proprietary", 1, "unauthorized", r"unauthorized (?:copying|reproduction|distribution|use)(?: (?:of|or) \w+){0,6}? is (?:strictly )?prohibited"),
+        ("proprietary-internal", "proprietary", 2, "internal", r"for internal use only"),
+        ("noncommercial-use", "non-commercial", 2, "commercial", r"for (?:personal,? )?non-?commercial (?:use|purposes) only"),
+        ("research-only", "research-only", 2, "research", r"for research purposes only"),
+        ("patent-grant", "patent-grant", 2, "patent", r"hereby grants? .{0,80}?patent license"),
+        ("permission-required", "permission-required", 3, "permission", r"without (?:the )?(?:prior |express )*written permission of"),
+    ]
+]
+
+
+#: One of these occurs in nearly every license text; the keywords of rules whose regular expression holds none of them stand beside.
+STEMS = ["licens", "licenc", "copyright", "permission", "software", "distribut", "warrant"]
+GATE = [*STEMS, "unauthorized"] + sorted({k for r in NOTICES + SIGNATURES if not any(stem in r.regex for stem in STEMS) for k in r.keywords})
 CONFIDENCE = [0.99, 0.95, 0.85, 0.5]
 DETECTION = "struct<start:int,until:int,priority:int,rule:string,label:string,end:int>"
 
 
+#: Between two words: white space, with the marks of a comment or a quotation where a line was broken.
+GAP_RUN = r"\s[\s#*/>;%|]*+"
+
+
 def spaced(regex: str) -> str:
-    """Spaces become runs of white space; nothing that follows one begins with white space, so runs are never tried shorter."""
-    return regex.replace("[- ]", r"(?:-|\s++)").replace(" ?", r"\s*+").replace(" ", r"\s++")
+    """Spaces become runs of white space and comment marks; nothing that follows one begins with these, so runs are never tried shorter."""
+    return regex.replace("[- ]", rf"(?:-|{GAP_RUN})").replace(" ?", rf"(?:{GAP_RUN})?+").replace(" ", GAP_RUN)
 
 
 def default_rules() -> list[Rule]:
-    """The families by the forms in which they are named, then the notices."""
+    """The families by the forms in which they are named, then the notices and signatures."""
     rules = []
     for label, spdx, keyword, title, versions in FAMILIES:
         key = re.sub(r"\W+", "-", f"{label} {keyword.split('|')[0]}")
@@ -120,7 +232,7 @@ def default_rules() -> list[Rule]:
         rules.append(Rule(f"{key}-spdx", label, 0, ("spdx-license-identifier",), rf"spdx-license-identifier: ?{re.escape(spdx.lower())}(?:-[a-z0-9.]+)*"))
         for v in versions:
             rules.append(Rule(f"{key}-{v}", f"{label}-{v}", 0, keywords, rf"\b{title} licen[cs]e,? ?(?:\(?[a-z]{{2,6}}\)?,? )?(?:version|v\.?) ?{re.escape(v)}(?:\.0)?\b"))
-    return [r._replace(regex=spaced(r.regex)) for r in rules + NOTICES]
+    return [r._replace(regex=spaced(r.regex)) for r in rules + NOTICES + SIGNATURES]
 
 
 def base_regex(phrases: list[tuple[str, ...]]) -> str:
