@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+
+from voxloom.llm.near_dedup import BANDS, PLACES, ROWS, super_minhash
 from voxloom.llm.components import components
 
 
@@ -30,3 +33,19 @@ def test_components_of_paths_stars_and_random_graphs(spark):
         got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
         assert got == {k: v for k, v in plain([e for e in edges if e[0] != e[1]]).items()}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_variance_and_recall_of_the_signatures():
+    rng = np.random.default_rng(11)
+    estimates, missed, pairs = [], 0, 0
+    for _ in range(120):
+        shared, own = 340, 30  # similarity 340 / 400 = 0.85
+        words = rng.integers(0, 1 << 63, shared + 2 * own).astype(np.uint64)
+        a, b = np.sort(words[: shared + own]), np.sort(np.concatenate([words[:shared], words[shared + own :]]))
+        s = super_minhash(np.concatenate([a, b]), np.array([len(a), len(b)]))
+        estimates.append((s[0] == s[1]).mean())
+        bands = (s[0] == s[1])[: BANDS * ROWS].reshape(ROWS, BANDS).all(0)
+        missed, pairs = missed + (not bands.any()), pairs + 1
+    assert abs(np.mean(estimates) - 0.85) < 0.01
+    assert np.var(estimates) < 1.2 * 0.85 * 0.15 / PLACES  # no more than plain MinHash has
+    assert missed / pairs < 0.02

@@ -25,6 +25,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
 
 

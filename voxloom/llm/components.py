@@ -46,4 +46,6 @@ def components(edges: DataFrame) -> DataFrame:
         edges = common.checkpoint(_few(_few(small.where("child <> parent"), n).distinct(), n))
         n, bad = _shape(edges, n)
     roots = edges.select(F.col("child").alias("node"), F.col("parent").alias("root"))
-    return roots.unionByName(edges.select(F.col("parent").alias("node"), F.col("parent").alias("root")).distinct())
+    found = roots.unionByName(edges.select(F.col("parent").alias("node"), F.col("parent").alias("root")).distinct())
+    # The rounds end in few tasks; what is joined to the result is spread over as many as ever.
+    return found.repartition(common.shuffle_partitions(edges.sparkSession), "node")
