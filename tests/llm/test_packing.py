@@ -17,6 +17,7 @@ def test_word_tokens_equal_whole_text_encoding():
 
 def test_cache_may_be_emptied(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 3)
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 8)
     words = packing.WordTokens(packing.tokenizer_file())
     texts = ["a b c d e", "f g", "a z y x w v"]
     again = packing.WordTokens(packing.tokenizer_file())
@@ -62,9 +63,15 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert packing.pack(docs.limit(0), packing.tokenizer_file()).count() == 0
 
 
+def found(docs, used=(0,)):
+    shard, mask = packing.Shard(docs), np.zeros(len(docs), bool)
+    mask[list(used)] = True
+    return shard.neighbours(shard.terms_of(0), mask)
+
+
 def test_neighbours_rank_by_shared_rare_terms():
     docs = [np.array(x, "<u4") for x in ([5, 6, 7, 9], [5, 8, 8], [6, 7, 9, 1], [1, 2, 3])]
-    assert packing.Shard(docs).neighbours(0)[0] == 2
+    assert next(found(docs)) == 2
     assert list(packing.fill_order(docs, 0, 100))[:2] == [0, 2]
 
 
@@ -72,7 +79,7 @@ def test_scores_are_those_of_the_whole_table(spark):
     texts = ["a b c", "a a d", "a", "e f a", "b c d e f", "a b"]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
     tokens = packing.tokenized(docs, packing.tokenizer_file())
-    corpus = packing.corpus_statistics(tokens)
+    corpus = packing.statistics(tokens).corpus
     words = packing.WordTokens(packing.tokenizer_file())
     want = [np.array(x) for x in words.encode(texts)]
     df = np.bincount(np.concatenate([np.unique(x) for x in want]))
@@ -85,7 +92,38 @@ def test_all_terms_of_the_seed_count():
     seed = np.repeat(np.arange(2, 42), 2)
     for term in range(2, 42):
         docs = [x.astype("<u4") for x in (seed, np.array([term, 99]), np.array([98, 99]))]
-        assert packing.Shard(docs).neighbours(0) == [1]
+        assert list(found(docs)) == [1]
+
+
+def test_scores_are_the_same_however_many_terms_have_rows(monkeypatch):
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, 60, rng.integers(1, 40)).astype("<u4") for _ in range(50)]
+    whole = [packing.Shard(docs).score(np.unique(d)) for d in docs]
+    monkeypatch.setattr(packing, "DENSE_SHARE", 1)
+    assert np.allclose(whole, [packing.Shard(docs).score(np.unique(d)) for d in docs], rtol=1e-5)
+
+
+def test_neighbours_are_in_order_with_ties_by_position():
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 8, rng.integers(1, 6)).astype("<u4") for _ in range(300)]
+    shard, used = packing.Shard(docs), rng.random(300) < 0.3
+    score = shard.score(np.unique(docs[0]))
+    want = sorted((i for i in range(1, 300) if score[i] > 0 and not used[i]), key=lambda i: (-score[i], i))
+    used[0] = True
+    assert list(found(docs, np.flatnonzero(used))) == want
+    left = shard.only(~used)
+    again = np.flatnonzero(~used)[list(left.neighbours(shard.terms_of(0), np.zeros(left.n, bool)))]
+    assert again.tolist() == want
+
+
+def test_very_long_and_repeated_texts(spark):
+    long = " ".join(f"word{i % 977}," for i in range(300_000))
+    docs = spark.createDataFrame([(1, long), (2, long), (None, "x" * 100_000), (4, "a b")], "doc_id long, text string")
+    rows = packing.pack(docs, packing.tokenizer_file()).select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset").collect()
+    for doc in {r["doc_id"] for r in rows}:
+        own = sorted((r for r in rows if r["doc_id"] == doc), key=lambda r: r["start"])
+        assert own[0]["start"] == 0 and all(a["start"] + a["length"] == b["start"] for a, b in zip(own, own[1:], strict=False))
+        assert own[-1]["start"] + own[-1]["length"] == own[0]["doc_tokens"]
 
 
 def test_alike_documents_share_a_task_wherever_they_stand(spark):
