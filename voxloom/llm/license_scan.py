@@ -11,6 +11,7 @@ inside the interval of another of the same or a stronger priority.
 from __future__ import annotations
 
 import re
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -190,7 +191,7 @@ SIGNATURES = [
         ("elastic-may", "elastic", 0, "hosted", r"you may not provide the software to third parties as a hosted or managed service"),
         ("commons-clause", "commons-clause", 0, "clause", r"\bcommons clause\b"),
         ("json-good", "json", 0, "evil", r"the software shall be used for good, not evil"),
-        ("beerware", "beerware", 0, "beer", r"you can buy me a beer in return"),
+        ("beerware", "beerware", 0, "ware", r"\bthe beer-?ware license\b"),
         ("llama-community", "llama", 0, "llama", r"\bllama [0-9.]+ (?:community )?license agreement\b"),
         ("openrail", "openrail", 0, "openrail", r"\b(?:creativeml |bigscience )?openrail(?:\+\+|-m)?\b"),
         ("all-permissive", "fsf-all-permissive", 0, "copying", r"copying and distribution of this file, with or without modification, are permitted in any medium"),
@@ -205,9 +206,11 @@ SIGNATURES = [
 ]
 
 
+#: One of these occurs in every text that a rule of a family matches.
+FAMILY_GATE = ["licens", "licenc"]
 #: One of these occurs in nearly every license text; the keywords of rules whose regular expression holds none of them stand beside.
-STEMS = ["licens", "licenc", "copyright", "permission", "software", "distribut", "warrant"]
-GATE = [*STEMS, "unauthorized"] + sorted({k for r in NOTICES + SIGNATURES if not any(stem in r.regex for stem in STEMS) for k in r.keywords})
+STEMS = [*FAMILY_GATE, "copyright", "permission", "software", "distribut", "warrant", "gpl"]
+GATE = [*STEMS, "unauthorized", *sorted({k for r in NOTICES + SIGNATURES if not any(stem in r.regex for stem in STEMS) for k in r.keywords})]
 CONFIDENCE = [0.99, 0.95, 0.85, 0.5]
 DETECTION = "struct<start:int,until:int,priority:int,rule:string,label:string,end:int>"
 
@@ -223,6 +226,14 @@ def spaced(regex: str) -> str:
 
 def default_rules() -> list[Rule]:
     """The families by the forms in which they are named, then the notices and signatures."""
+    return family_rules() + signature_rules()
+
+
+def signature_rules() -> list[Rule]:
+    return [r._replace(regex=spaced(r.regex)) for r in NOTICES + SIGNATURES]
+
+
+def family_rules() -> list[Rule]:
     rules = []
     for label, spdx, keyword, title, versions in FAMILIES:
         key = re.sub(r"\W+", "-", f"{label} {keyword.split('|')[0]}")
@@ -232,7 +243,7 @@ def default_rules() -> list[Rule]:
         rules.append(Rule(f"{key}-spdx", label, 0, ("spdx-license-identifier",), rf"spdx-license-identifier: ?{re.escape(spdx.lower())}(?:-[a-z0-9.]+)*"))
         for v in versions:
             rules.append(Rule(f"{key}-{v}", f"{label}-{v}", 0, keywords, rf"\b{title} licen[cs]e,? ?(?:\(?[a-z]{{2,6}}\)?,? )?(?:version|v\.?) ?{re.escape(v)}(?:\.0)?\b"))
-    return [r._replace(regex=spaced(r.regex)) for r in rules + NOTICES + SIGNATURES]
+    return [r._replace(regex=spaced(r.regex)) for r in rules]
 
 
 def base_regex(phrases: list[tuple[str, ...]]) -> str:
@@ -242,7 +253,7 @@ def base_regex(phrases: list[tuple[str, ...]]) -> str:
 def _detections(text: Column, low: Column, rules: list[Rule]) -> Column:
     table = F.array(*(F.struct(*((F.array(*map(F.lit, v)) if k == "keywords" else F.lit(v)).alias(k) for k, v in (r._asdict() | {"regex": f"(?i){r.regex}"}).items())) for r in rules))
     run = lambda r: F.transform(common.occurrences(text, r["regex"]), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("until"), r["priority"].alias("priority"), r["name"].alias("rule"), r["label"].alias("label"), x["end"].alias("end")))
-    return F.array_sort(F.flatten(F.transform(F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(low, k))), run)))
+    return F.flatten(F.transform(F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(low, k))), run))
 
 
 def _unsuppressed(found: Column) -> Column:
@@ -270,11 +281,15 @@ def license_scan(docs: DataFrame, rules: list[Rule] | None = None, text: str = "
     words = lambda c: F.regexp_count(c, F.lit(f"{WORD_CHAR}+")).cast("long")
     any_base = base_regex(list(BASE.values()))
     step = docs.withColumn(content, common.text_or_empty(text)).withColumn(low, F.lower(content))
-    licensed, gated = F.contains(F.col(low), F.lit("license")), F.lit(False)
-    for keyword in GATE:
-        gated = gated | F.contains(F.col(low), F.lit(keyword))
+    licensed = F.contains(F.col(low), F.lit("license"))
+    has = lambda keywords: reduce(Column.__or__, (F.contains(F.col(low), F.lit(k)) for k in keywords))
+    none = F.array().cast(f"array<{DETECTION}>")
+    detect = lambda some: _detections(F.col(content), F.col(low), some)
+    # Without a gate keyword no rule matches, and without one of theirs none of the families'; rules of the caller are all run.
+    raw = F.concat(F.when(has(FAMILY_GATE), detect(family_rules())).otherwise(none), F.when(has(GATE), detect(signature_rules())).otherwise(none)) if rules is None else detect(rules)
     step = step.withColumn(n_base, F.when(licensed, F.regexp_count(content, F.lit(f"(?i){any_base}"))).otherwise(F.lit(0)))
-    step = step.withColumn(found, F.when(gated, _unsuppressed(_detections(F.col(content), F.col(low), rules or default_rules()))).otherwise(F.array().cast(f"array<{DETECTION}>")))
+    step = step.withColumn(found, raw)
+    step = step.withColumn(found, F.when(F.size(found) > 0, _unsuppressed(F.array_sort(found))).otherwise(none))
     base_labels = F.when(F.col(n_base) > 0, F.array_compact(F.array(*(F.when(F.col(content).rlike(f"(?i){base_regex([p])}"), F.lit(label)) for label, p in sorted(BASE.items()))))).otherwise(F.array().cast("array<string>"))
     before = lambda any_text: F.when(F.col(n_base) > 0, words(F.regexp_extract(content, f"(?is)^({any_text}){any_base}", 1)))
     strongest = F.array_min(F.transform(found, lambda d: d["priority"]))
