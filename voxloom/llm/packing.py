@@ -47,6 +47,8 @@ SORTED_FIRST = 32
 LEADERS, RANKED = 256, 8
 #: Words whose tokens a Python worker remembers; beyond that, those of the last chunk.
 CACHE_WORDS = 400_000
+#: Words that one call of the tokenizer encodes.
+CALL_WORDS = 5_000
 #: Rows whose tokens are returned at once.
 BATCH_ROWS = 2_000
 
@@ -87,8 +89,11 @@ class WordTokens:
         return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
 
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if not words:
-            return self._each(words)
+        """The same for words of letters, some thousands in one call, as the tokenizer needs a few hundred bytes for each byte of a call."""
+        parts = [self._joined(words[i : i + CALL_WORDS]) for i in range(0, len(words), CALL_WORDS)] or [self._each(words)]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([sizes for _, sizes in parts])
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words) or stops[-1] != len(ids):
