@@ -37,7 +37,7 @@ CHUNK_BYTES = 4 << 20
 HASH_BYTES = 1 << 18
 BUCKET_BYTES = 16 << 20
 #: Buckets that a chunk writes to, and fingerprints that a task packs again at once.
-FAN = 1024
+FAN = 8192
 REPACK = 4_000_000
 #: Replies go out by document and bucket; with few buckets their number would not follow the input.
 MIN_BUCKETS = 64
@@ -144,8 +144,20 @@ def _from_planes(data: bytes, dtype: str, width: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(dtype).itemsize * width, -1).T).view(dtype)
 
 
+def anchor_keys(prints: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of each anchor and 32 more bits, which are all that travel to the bucket."""
+    n = np.uint64(n_buckets)
+    return (((prints % n) << np.uint64(32)) | ((prints // n) & np.uint64(0xFFFFFFFF)))[:, None]
+
+
 def _bucket(prints: np.ndarray, n_buckets: int) -> np.ndarray:
-    return (prints[:, 0] % np.uint64(n_buckets)).astype(np.int32)
+    return (prints[:, 0] % np.uint64(n_buckets) if prints.shape[1] > 1 else prints[:, 0] >> np.uint64(32)).astype(np.int32)
+
+
+def _payload(prints: np.ndarray, to_range: int) -> bytes:
+    if prints.shape[1] == 1 and to_range == 1:
+        return _planes(prints[:, 0].astype(np.uint32))
+    return _planes(np.ascontiguousarray(prints))
 
 
 def _sorted_runs(keys: list[np.ndarray], prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,7 +178,7 @@ def _messages(docs: np.ndarray, prints: np.ndarray, flags: np.ndarray, bucket: n
         own, to = docs[at], int(part[at[0]])
         change = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         counts = np.diff(np.append(change, len(at)))
-        yield ((spread + to) % -(-n_buckets // to_range) if decided else to, to, decided, own[change].tobytes(), counts.astype(np.uint32).tobytes(), np.packbits(flags[at]).tobytes(), _planes(np.ascontiguousarray(prints[at])))
+        yield ((spread + to) % -(-n_buckets // to_range) if decided else to, to, decided, own[change].tobytes(), counts.astype(np.uint32).tobytes(), np.packbits(flags[at]).tobytes(), _payload(prints[at], to_range))
 
 
 def offer(docs: np.ndarray, prints: np.ndarray, flags: np.ndarray, n_buckets: int, to_range: int, smaller: bool) -> Iterator[tuple]:
@@ -200,9 +212,13 @@ def _replies(docs: np.ndarray, prints: np.ndarray) -> Iterator[tuple]:
 
 def _opened(message: tuple, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """docs, fingerprints and flags of a message."""
-    _, _, docs, counts, flags, prints = message
-    prints = _from_planes(prints, "<u8", width)
-    return np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32)), prints, np.unpackbits(np.frombuffer(flags, np.uint8), count=len(prints)).astype(bool)
+    bucket, _, docs, counts, flags, prints = message
+    docs = np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32))
+    if len(prints) == 4 * len(docs):
+        prints = _from_planes(prints, "<u4", 1).astype(np.uint64) | np.uint64(bucket << 32)
+    else:
+        prints = _from_planes(prints, "<u8", width)
+    return docs, prints, np.unpackbits(np.frombuffer(flags, np.uint8), count=len(prints)).astype(bool)
 
 
 def meet(messages: list[tuple], smaller: bool) -> Iterator[tuple]:
@@ -329,7 +345,7 @@ def remove_repeats(docs: DataFrame, choose: Chooser, window: int = WINDOW, text:
                 valid &= np.repeat(chunk.counts >= window, chunk.counts)
                 offered, reference = choose(chunk, prints, valid)
                 at = np.flatnonzero(offered & valid)
-                rows = list(offer(np.repeat(ids, chunk.counts)[at], prints[at, None], reference[at], n_buckets, to_range, False))
+                rows = list(offer(np.repeat(ids, chunk.counts)[at], anchor_keys(prints[at], n_buckets), reference[at], n_buckets, to_range, False))
                 if rows:
                     yield _batch(rows, MESSAGE_TYPE)
 
@@ -338,9 +354,9 @@ def remove_repeats(docs: DataFrame, choose: Chooser, window: int = WINDOW, text:
             for ids, texts, replies in _chunks(batch[key], batch[text], batch[back]):
                 chunk, _ = chunk_of(texts, twice=True)
                 prints, valid = chunk.prints(half)
-                shared = np.zeros(len(prints), bool)
+                keys, shared = anchor_keys(prints, n_buckets), np.zeros(len(prints), bool)
                 for a, n, r in zip(chunk.starts.tolist(), chunk.counts.tolist(), replies, strict=True):
-                    shared[a : a + n] = _member(prints[a : a + n, None], r)
+                    shared[a : a + n] = _member(keys[a : a + n], r)
                 sums = np.concatenate([[0], np.cumsum(shared & valid)])
                 whole, inside = chunk.long_prints(window)
                 at = np.arange(len(whole))
