@@ -7,9 +7,11 @@ NumPy kernels, applied row by row to whole signals.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .vectors import bound, total
@@ -316,15 +318,26 @@ def resample(x: Column, rate: int, new_rate: int) -> Column:
     return _rows(kernel, "array<double>")(x)
 
 
+def butterworth(s: np.ndarray, rate: float, cutoff: float = 80.0, order: int = 4) -> list[float]:
+    f = np.fft.rfftfreq(2 * len(s), 1 / rate)
+    response = (f / cutoff) ** (2 * order) / (1 + (f / cutoff) ** (2 * order))
+    return np.fft.irfft(np.fft.rfft(np.concatenate([s, s[::-1]])) * response)[: len(s)].tolist()
+
+
 def high_pass(x: Column, rate: float, cutoff: float = 80.0, order: int = 4) -> Column:
     """Zero-phase Butterworth response, applied to the spectrum (both passes: the squared magnitude)."""
+    return _rows(lambda s: butterworth(s, rate, cutoff, order), "array<double>")(x)
 
-    def kernel(s: np.ndarray) -> list[float]:
-        f = np.fft.rfftfreq(2 * len(s), 1 / rate)
-        response = (f / cutoff) ** (2 * order) / (1 + (f / cutoff) ** (2 * order))
-        return np.fft.irfft(np.fft.rfft(np.concatenate([s, s[::-1]])) * response)[: len(s)].tolist()
 
-    return _rows(kernel, "array<double>")(x)
+def high_passed(df: DataFrame, column: str, rate: float, cutoff: float = 80.0) -> DataFrame:
+    """``df`` with the column filtered, as a step of its own: what follows may use it inside lambdas, where Spark can't run a UDF."""
+
+    def filtered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch[column] = [None if s is None or len(s) == 0 else butterworth(np.asarray(s, float), rate, cutoff) for s in batch[column]]
+            yield batch
+
+    return df.mapInPandas(filtered, df.schema)
 
 
 def voice_features(x: Column, rate: float, dims: int = 256) -> Column:

@@ -64,7 +64,7 @@ def projected(spark, sf):
 
 def enhanced_levels(spark, sf):
     """Without offset and lowest frequencies, trimmed, at a peak of -3 dB."""
-    filtered = B.vectors(spark, sf).select("vec_id", G.high_pass(G.remove_dc(F.col("vec")), 24_000.0).alias("x"))
+    filtered = G.high_passed(B.vectors(spark, sf).select("vec_id", G.remove_dc(F.col("vec")).alias("x")), "x", 24_000.0)
     clean = filtered.select("vec_id", G.scaled_to_peak(G.trim_silence(F.col("x"), -20.0), -3.0).alias("x"))
     return clean.select("vec_id", F.size("x").alias("n"), F.round(G.peak(F.col("x")), 6).alias("peak"), F.round(G.rms(F.col("x")), 6).alias("rms"))
 
