@@ -52,3 +52,24 @@ def test_nulls_empties_and_no_labels(spark):
     assert [r["score"] for r in quality.score_quality(docs, field).collect()] == [0.5] * 5
     some = spark.createDataFrame([(1, 0), (3, 1), (3, None), (None, 1)], "doc_id long, quality int")
     assert quality.score_quality(docs, quality.train_field(docs, some)).count() == 5
+
+
+def test_training_sample_is_bounded_in_lines(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit_field", lambda lines, labels: seen.append((lines.counts.sum(), len(labels))))
+    docs = spark.createDataFrame([(i, "good line\n" * (i % 7)) for i in range(400)] + [(1, "again"), (500, "a\n" * 5000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(501)], "doc_id long, quality int")
+    quality.train_field(docs, labels, max_lines=1000)
+    quality.train_field(docs, labels, max_lines=400)
+    quality.train_field(docs, labels)
+    (first, _), (second, _), (whole, n) = seen
+    assert 900 < first <= 1000 and 350 < second <= 400 and whole > 5000
+    ids = [i for i in [*range(400), 1, 500] if zlib.crc32(str(i).encode()) % 5]
+    assert n == len(ids)
+
+
+def test_many_lines_and_an_empty_table(spark):
+    field = quality.Field(np.zeros(quality.N_FEATURES), np.ones(quality.N_FEATURES), np.zeros(quality.N_FEATURES + 1), np.zeros((2, 2)))
+    docs = spark.createDataFrame([(1, "a line\n" * 50_000), (1, "a line\n" * 50_000)], "doc_id long, text string")
+    assert [r["score"] for r in quality.score_quality(docs, field).collect()] == [0.5, 0.5]
+    assert quality.score_quality(docs.where("doc_id > 1"), field).collect() == []

@@ -14,13 +14,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 #: Labelled documents that the field is fitted on, at most; the first by hash of their id.
 MAX_TRAIN_DOCS = 4000
+#: Lines of all these documents together, at most; a document with over a twentieth of them is not in the sample.
+MAX_TRAIN_LINES = 200_000
 THRESHOLD = 0.3
 #: UTF-8 bytes of text handled at once in a worker.
 CHUNK_BYTES = 2_000_000
@@ -157,11 +159,21 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def train_field(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "quality", max_docs: int = MAX_TRAIN_DOCS) -> Field:
-    """Fit on labelled rows that are not held out: the first ``max_docs`` ids by hash, a documented bound."""
+def train_field(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "quality", max_docs: int = MAX_TRAIN_DOCS, max_lines: int = MAX_TRAIN_LINES) -> Field:
+    """Fit on labelled rows that are not held out, a documented bounded sample.
+
+    It takes whole documents, all rows of an id together, in the order of the
+    hash of their ids: the first ``max_docs`` ids, of these all with at most
+    ``max_lines`` / 20 lines, up to ``max_lines`` lines in total.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label).alias("label"))
     chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(max_docs)
-    rows = docs.select(F.col(id_col), F.col(text).alias("text")).join(F.broadcast(chosen), id_col).select(id_col, "label", F.arrow_udf(_line_features, "features binary, lengths binary")("text").alias("x")).select(id_col, "label", "x.*").collect()
+    sample = common.checkpoint(docs.select(F.col(id_col).alias("id"), common.text_or_empty(text).alias("text")).join(F.broadcast(chosen.select(F.col(id_col).alias("id"), "label")), "id"))
+    lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    sizes = sample.groupBy("id").agg(F.sum(lines).alias("lines")).where(F.col("lines") * 20 <= max_lines)  # a row for each of at most max_docs ids
+    up_to = F.sum("lines").over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("id"), "id"))
+    kept = sizes.withColumn("up_to", up_to).where(F.col("up_to") <= max_lines).select("id")
+    rows = sample.join(F.broadcast(kept), "id", "left_semi").select("id", "label", F.arrow_udf(_line_features, "features binary, lengths binary")("text").alias("x")).select("id", "label", "x.*").collect()
     rows = sorted(rows, key=lambda r: (r[0], r["features"]))
     if not rows:
         return fit_field(Lines(np.zeros((0, N_FEATURES)), np.zeros(0), np.zeros(0, int)), np.zeros(0))
