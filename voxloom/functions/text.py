@@ -55,7 +55,7 @@ def spell_numbers(text: Column) -> Column:
 
 
 def nfkc(text: Column) -> Column:
-    """Compatibility normalisation; Spark has no built-in for it, and only texts beyond ASCII go through Python."""
+    """Compatibility normalisation; Spark has no built-in for it, so texts go through Python in Arrow batches."""
 
     @F.pandas_udf("string")
     def normalised(texts: pd.Series) -> pd.Series:
@@ -175,3 +175,16 @@ def parse_log_line(line: Column) -> Column:
 def joined_summaries(log: Column) -> Column:
     """Array of the lines of a log; the indented lines behind an epoch summary are joined to it."""
     return F.split(F.regexp_replace(log, r"(?m)(?<=\S)[ \t]*\r?\n[ \t]+(?=(?:Training|Validation) Loss:)", " "), r"\r?\n")
+
+
+#: Forms of a time.
+STAMPS = {"compact": "yyyyMMdd_HHmmss", "day": "yyyy-MM-dd", "iso": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def stamp(ts: Column, form: str) -> Column:
+    return F.date_format(ts, STAMPS[form])
+
+
+def merged(first: Column, second: Column) -> Column:
+    """Both maps in one; of a key that both have the second's value counts."""
+    return F.map_concat(F.map_filter(first, lambda k, v: ~F.map_contains_key(second, k)), second)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quality import filter_confidence
+
 
 def orphans(listing: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFrame:
     """Payloads that no manifest row names."""
@@ -55,6 +57,29 @@ def pending(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return inputs.join(done.select(key), key, "left_anti")
 
 
+def delete_list(listing: DataFrame, manifest: DataFrame, key: str, good: Column) -> DataFrame:
+    """(key, reason) of payloads that may go, ``orphaned`` or ``rejected``; one that a good row names stays.  Nothing is deleted here."""
+    named = manifest.groupBy(key).agg(F.coalesce(F.max(good), F.lit(False)).alias("good"))
+    both = listing.select(key).distinct().join(named, key, "left")
+    return both.where("good IS NULL OR NOT good").select(key, F.when(F.col("good").isNull(), "orphaned").otherwise("rejected").alias("reason"))
+
+
+def clean_for_upload(manifest: DataFrame, listing: DataFrame, key: str, good: Column, minimum: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(rows to upload, one row on what became of all).
+
+    Rows under the least confidence go, then those that are not ``good``, then
+    those without a payload.  It is ``valid`` where rows are left and each left
+    by the filters has a payload, once; orphaned payloads are counted only.
+    """
+    sure = filter_confidence(manifest, minimum)
+    clean = sure.where(F.coalesce(good, F.lit(False)))
+    kept = referenced(clean, listing, [key])
+    states = integrity_report(listing, clean, key).select("n_orphaned", "n_missing")
+    count = lambda rows: rows.agg(F.count("*").alias("n")).scalar()
+    report = states.select(count(manifest).alias("total"), count(sure).alias("confident"), count(clean).alias("clean"), count(kept).alias("kept"), "n_orphaned", "n_missing", clean.agg(F.count(key) - F.count_distinct(key)).scalar().alias("n_repeated"))
+    return kept, report.withColumn("valid", (F.col("clean") > 0) & (F.col("n_missing") == 0) & (F.col("n_repeated") == 0))
+
+
 def source_kind(source: Column) -> Column:
     return F.when(source.rlike(r"^(?:https?://|www\.)"), "url").otherwise("local")
 

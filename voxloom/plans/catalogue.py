@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import curation, live, logs, texts, voices
+from . import curation, live, logs, spectra, texts, voices
 
-_MODULES = (curation, texts, voices, logs, live)
+_MODULES = (curation, texts, voices, spectra, logs, live)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}

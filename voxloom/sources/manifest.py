@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import MANIFEST, SPLITS
+from ..functions.text import class_coverage
+from ..schema import MANIFEST, METRIC, SPLITS, VOICE
 
 AUDIO = "*.{wav,mp3,m4a,flac}"
 
 
 def read_manifest(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
-    """All splits' ``metadata.jsonl`` under ``root``; absent splits give no rows.
+    """The rows of all splits under ``root``: ``metadata.jsonl`` in a split's folder, or the files of ``write_manifest``; absent splits give no rows.
 
     Strict: a malformed line is an error.  Else malformed lines and rows without
     a file name or a text are left out; see ``manifest_problems``.
@@ -30,8 +31,8 @@ def manifest_problems(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, root: str, strict: bool) -> DataFrame:
-    text = spark.read.option("pathGlobFilter", "metadata.jsonl").option("recursiveFileLookup", "true").text(root)
-    rows = text.select("value", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/metadata\.jsonl$", 1).alias("folder")).where(F.trim("value") != "")
+    text = spark.read.option("pathGlobFilter", "{metadata.jsonl,part-*.txt}").option("recursiveFileLookup", "true").text(root)
+    rows = text.select("value", F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)/[^/]+$", 1).alias("folder")).where(F.trim("value") != "")
     rows = rows.where(F.col("folder").isin(*SPLITS))
     schema = T.StructType([*MANIFEST.fields, T.StructField("_corrupt_record", T.StringType())])
     parsed = rows.select("folder", F.from_json("value", MANIFEST if strict else schema, {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
@@ -68,7 +69,7 @@ def voice_files(listing: DataFrame, prefixes: tuple[str, ...] = ("af_", "am_"),
 
 
 def write_manifest(df: DataFrame, root: str) -> None:
-    """One folder of JSON lines for each split, each split as one commit; empty splits become empty folders."""
+    """One folder of JSON lines for each split, all in one commit that replaces what was there, so a split without rows has none left."""
     df.select("split", F.to_json(F.struct(*(c for c in df.columns))).alias("value")).write.mode("overwrite").partitionBy("split").text(root)
 
 
@@ -79,6 +80,28 @@ def replace_table(df: DataFrame, path: str) -> str:
     return target
 
 
+def write_voices(df: DataFrame, path: str) -> None:
+    """(voice_id, vec), or with a length_idx the rows of all lengths, as ``read_voices`` takes them."""
+    df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in VOICE.fields if f.name in df.columns)).write.mode("overwrite").parquet(path)
+
+
+def metric_rows(df: DataFrame, tags: list[str], ts: str = "ts", run: str = "run", epoch: str = "epoch", step: str = "step") -> DataFrame:
+    """A row of the metric table for each tag of each wide row; nulls are left out."""
+    long = df.select(F.col(ts).alias("ts"), F.col(run).alias("run"), F.col(epoch).alias("epoch"), F.col(step).alias("step"), F.explode(F.array(*(F.struct(F.lit(t).alias("tag"), F.col(t).cast("double").alias("value")) for t in tags))).alias("m"))
+    return long.select("ts", "run", "epoch", "step", "m.*").where("value IS NOT NULL").select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in METRIC.fields))
+
+
+def append_metrics(rows: DataFrame, path: str) -> None:
+    """Add to the metric table, a folder for each run."""
+    rows.write.mode("append").partitionBy("run").parquet(path)
+
+
+def write_token_analysis(histogram: DataFrame, path: str) -> None:
+    """The histogram and the coverage of its classes as JSON."""
+    histogram.write.mode("overwrite").json(f"{path}/tokens")
+    write_report(class_coverage(histogram), f"{path}/summary")
+
+
 def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
