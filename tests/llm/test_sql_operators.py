@@ -167,3 +167,33 @@ def test_near_groups_in_blocks(spark, monkeypatch):
     left = near_dedup.near_dedup(docs).collect()
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in left) == [-1, -1, 0]
     assert near_dedup.near_groups(docs.limit(0)).count() == 0
+
+
+def test_clusters_that_fall_apart_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows, words = [], [f"w{i}" for i in range(300)]
+    for step in range(150):  # a chain that breaks where over eight words change, though such texts still share bands
+        for at in rng.integers(0, len(words), rng.integers(3, 12)):
+            words[at] = f"s{step}a{at}"
+        rows.append((step, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [{" ".join(w[i : i + 3]) for i in range(len(w) - 2)} for w in (t.split() for _, t in rows)]
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                x, y = sorted((find(rows[i][0]), find(rows[j][0])))
+                root[y] = x
+    want = {i: find(i) for i, _ in rows}
+    met = []
+    whole = near_dedup._against_all
+    monkeypatch.setattr(near_dedup, "_against_all", lambda *a: met.append(1) or whole(*a))
+    for block, pivots in ((2000, 16), (12, 2)):
+        monkeypatch.setattr(near_dedup, "BLOCK_DOCS", block)
+        monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
+        assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs, 3, 85).collect()} == want
+    assert met and 1 < len(set(want.values())) < len(rows)

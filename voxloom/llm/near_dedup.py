@@ -11,7 +11,11 @@
 3. In each cluster links are confirmed on the full sets.  A document is compared
    with all others of its cluster until no two that were not compared lie in
    different groups, which takes few comparisons where copies hang together and
-   loses no link.  Clusters beyond a block are compared block against block.
+   loses no link.  A cluster beyond a block is compared inside its blocks, to
+   each of which some members of the whole cluster are added.  Two members of
+   the largest group that this gives need no comparison; the others meet all
+   blocks once more.  So a cluster of copies travels once or twice, whatever its
+   size; only one that falls apart is compared block against block.
 4. Union-find over the confirmed links gives the groups.
 """
 
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, repeats
@@ -31,6 +35,8 @@ from .components import components
 PLACES, BANDS, ROWS = 127, 25, 5
 #: Documents and shingles of a block of a cluster.
 BLOCK_DOCS, BLOCK_SHINGLES = 2_000, 2_000_000
+#: Members of a cluster of several blocks that are compared with all its blocks first.
+PIVOTS = 16
 CHUNK_BYTES = 2 << 20
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SIGNATURE = "doc long, n_shingles long, print binary, bands array<long>"
@@ -129,6 +135,28 @@ def confirmed_links(texts: list[bytes], k: int, percent: int) -> list[tuple[int,
                 group[group == group[other]] = group[pivot]
 
 
+def _blocks(size: str, weight: str) -> Column:
+    return F.greatest(F.ceil(F.col(size) / BLOCK_DOCS), F.ceil(F.col(weight) / BLOCK_SHINGLES)).cast("int")
+
+
+def _outside(members: DataFrame, groups: DataFrame, n: int) -> DataFrame:
+    """The members (node, root, size, n_blocks, n_shingles) of clusters that aren't in the largest group of their cluster so far."""
+    known = members.join(groups.select("node", F.col("root").alias("group")), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    counted = known.groupBy("root", "group").agg(F.count("*").alias("n"), F.first("size").alias("all"))
+    largest = counted.groupBy("root").agg(F.max_by("group", F.struct("n", "group")).alias("largest"), F.first("all").alias("all"))
+    rest = common.join_groups(known, largest, "root", "all", n).where(F.col("group") != F.col("largest"))
+    return common.checkpoint(rest.select("node", "root", "size", "n_blocks", "n_shingles"))
+
+
+def _against_all(members: DataFrame, rest: DataFrame, n: int) -> DataFrame:
+    """(doc, task): blocks of the rest of each cluster, each with all blocks of the cluster in turn."""
+    cut = rest.groupBy("root").agg(F.count("*").alias("n_rest"), F.sum("n_shingles").alias("weight"), F.first("size").alias("size")).select("root", "size", _blocks("n_rest", "weight").alias("n_rest"))
+    numbers = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    theirs = common.join_groups(members.drop("size"), cut, "root", "size", n).select("node", "root", "block", numbers("n_rest").alias("other"))
+    own = common.join_groups(rest.drop("size"), cut, "root", "size", n).withColumn("other", F.pmod(F.xxhash64("node"), F.col("n_rest")).cast("int")).select("node", "root", numbers("n_blocks").alias("block"), "other")
+    return theirs.unionByName(own).distinct().select(F.col("node").alias("doc"), F.xxhash64("root", "block", "other").alias("task"))
+
+
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row.
 
@@ -178,14 +206,23 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "tex
     candidates = common.join_groups(bands, shared, "key", "size", n * BANDS).select(F.col("first").alias("a"), F.col("node").alias("b"))
     clusters = components(candidates)
 
+    def confirmed(tasks: DataFrame) -> DataFrame:
+        rows = thin.join(tasks, "doc").repartition(common.shuffle_partitions(docs.sparkSession), "task").sortWithinPartitions("task", "doc", "text")
+        return common.checkpoint(rows.mapInArrow(confirm, "a long, b long"))
+
     sized = clusters.join(nodes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node")
-    blocks = sized.groupBy("root").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("weight"))
-    blocks = blocks.select("root", "size", F.greatest(F.ceil(F.col("size") / BLOCK_DOCS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
-    members = common.join_groups(sized.select("node", "root"), blocks, "root", "size", n)
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    members = members.select(F.col("node").alias("doc"), F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("task"))
-    tasks = thin.join(members, "doc").repartition(common.shuffle_partitions(docs.sparkSession), "task").sortWithinPartitions("task", "doc", "text")
-    groups = components(tasks.mapInArrow(confirm, "a long, b long"))
+    blocks = sized.groupBy("root").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("weight")).select("root", "size", _blocks("size", "weight").alias("n_blocks"))
+    members = common.join_groups(sized, blocks, "root", "size", n).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
+    members = common.checkpoint(members)
+    large = members.where("n_blocks > 1")
+    pivots = large.groupBy("root", "n_blocks", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(PIVOTS)).alias("of")).agg(F.min("node").alias("node"))
+    pivots = pivots.select("node", "root", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
+    links = confirmed(members.select("node", "root", "block").unionByName(pivots).distinct().select(F.col("node").alias("doc"), F.xxhash64("root", "block").alias("task")))
+    groups = components(links)
+    rest = _outside(large, groups, n)
+    if not rest.isEmpty():
+        links = links.unionByName(confirmed(_against_all(large, rest, n)))
+        groups = components(links)
 
     labelled = nodes.select("print", "node", "copies").join(groups, "node", "left").select("print", "copies", F.coalesce("root", "node").alias("component_id"))
     rows = common.join_groups(filled.select("doc", "n_shingles", "print"), labelled, "print", "copies", n).select("doc", "n_shingles", "component_id")
