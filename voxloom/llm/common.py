@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,3 +98,13 @@ def occurrences(text: Column, regex: Column) -> Column:
         F.when(x["found"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], F.struct(start(acc, x).alias("start"), (start(acc, x) + F.length(x["found"])).alias("end"), x["found"].alias("found")))).alias("out"),
     )
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), no_occurrences().alias("out")), step, lambda acc: acc["out"])
+
+
+def releasing(work):
+    """``work`` on a task's batches; behind the last one Arrow's unused memory goes back to the system, as a Python worker lives on into later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run

@@ -170,11 +170,13 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "tex
     has a null component_id and is kept.  An empty table gives no rows.
     """
 
+    @common.releasing
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in _chunks(batch):
                 yield _signatures(ids, texts, k)
 
+    @common.releasing
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
             found = confirmed_links(texts, k, percent) if len(ids) > 1 else []

@@ -184,6 +184,10 @@ def word_tokens(path: str) -> WordTokens:
     return _words[path]
 
 
+def forget_words() -> None:
+    _words.clear()
+
+
 class Corpus(NamedTuple):
     """What BM25 takes from the whole table: inverse document frequency by term, mean length in tokens."""
 
@@ -353,6 +357,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     chance is a hash of the row; ids have two bytes each where they do.
     """
 
+    @common.releasing
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, summary, schema = word_tokens(tokenizer_path), Summary(), None
         for batch in batches:
@@ -399,7 +404,9 @@ def ranked(tokens: DataFrame, known: Statistics) -> DataFrame:
     chosen = rows.where(F.col("chance") <= known.last_chance).orderBy("chance", "id").limit(known.n_leaders).collect()
     leaders = [np.frombuffer(r["ids"], f"<u{len(r['ids']) // r['doc_tokens']}") for r in chosen]
 
+    @common.releasing
     def rankings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()  # the worker tokenises no more
         index = Shard(leaders, known.corpus) if leaders else None
         for batch in batches:
             keys = [index.ranking(np.unique(ids)) for ids in tokens_of(batch)]
@@ -428,6 +435,7 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str =
     order = ("ranking", "chance", "id", "row")
     dealt = placed.repartitionByRange(n_tasks, *order).sortWithinPartitions(*order).select("id", "ids", "doc_tokens")
 
+    @common.releasing
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: list[pa.DataType] = []
 
