@@ -100,6 +100,20 @@ def occurrences(text: Column, regex: Column) -> Column:
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), no_occurrences().alias("out")), step, lambda acc: acc["out"])
 
 
+#: Bytes of a text that are split into words at once.
+PIECE_BYTES = 1 << 20
+
+
+def word_pieces(line: bytes) -> Iterator[list[bytes]]:
+    """The words of a line of words and spaces, in lists of about ``PIECE_BYTES``."""
+    at = 0
+    while at < len(line):
+        end = line.find(b" ", at + PIECE_BYTES)
+        end = len(line) if end < 0 else end
+        yield line[at:end].split()
+        at = end
+
+
 def releasing(work):
     """``work`` on a task's batches; behind the last one Arrow's unused memory goes back to the system, as a Python worker lives on into later stages."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import OP1_SQL, op1_decontamination
+from .divergence import OP11_SQL, op11_divergence
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .license_scan import op10_license_scan
 from .near_dedup import OP6_SQL, op6_near_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op11_divergence": op11_divergence,
 }
 
 ORACLE_SQL = {
@@ -32,4 +34,5 @@ ORACLE_SQL = {
     "op6_near_dedup": OP6_SQL,
     "op8_suffix_dedup": REPEATS_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op11_divergence": OP11_SQL,
 }
