@@ -10,6 +10,7 @@ from .near_dedup import OP6_SQL, op6_near_dedup
 from .packing import op5_packing
 from .pii import op3_pii
 from .quality import op2_quality
+from .resampling import OP12_SQL, op12_resampling
 from .sharding import op7_sharding
 from .substring_dedup import REPEATS_SQL, op4_substring_dedup
 from .suffix_dedup import op8_suffix_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op11_divergence": op11_divergence,
+    "op12_resampling": op12_resampling,
 }
 
 ORACLE_SQL = {
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op8_suffix_dedup": REPEATS_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op11_divergence": OP11_SQL,
+    "op12_resampling": OP12_SQL,
 }
