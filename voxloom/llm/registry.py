@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontamination import OP1_SQL, op1_decontamination
 from .divergence import OP11_SQL, op11_divergence
 from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .language import op13_language
 from .license_scan import op10_license_scan
 from .near_dedup import OP6_SQL, op6_near_dedup
 from .packing import op5_packing
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op11_divergence": op11_divergence,
     "op12_resampling": op12_resampling,
+    "op13_language": op13_language,
 }
 
 ORACLE_SQL = {
