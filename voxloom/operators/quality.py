@@ -7,6 +7,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 
 def clamp(x: Column, low: float = 0.0, high: float = 1.0) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), x))
@@ -156,10 +158,14 @@ def quality_report(df: DataFrame, is_good: str = "is_good", score: str = "score"
 
 
 def summary_stats(df: DataFrame, metrics: list[str]) -> DataFrame:
-    """(metric, mean, std, min, max, median): population deviation; metrics without values are absent."""
-    rows = F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics))
-    long = df.select(F.explode(rows).alias("r")).select("r.*").where("v IS NOT NULL")
-    return long.groupBy("metric").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), F.median("v").alias("median"))
+    """(metric, mean, std, min, max, median): population deviation; metrics without values are absent.
+
+    The medians are exact and found when this is called, see ``quantiles``; the rest is one row over one scan.
+    """
+    median = exact_quantiles(df, metrics, [0.5])
+    x = {m: F.col(m).cast("double") for m in metrics}
+    stats = lambda m: F.struct(F.lit(m).alias("metric"), F.avg(x[m]).alias("mean"), F.stddev_pop(x[m]).alias("std"), F.min(x[m]).alias("min"), F.max(x[m]).alias("max"), F.lit(median.get(m, {}).get(0.5)).cast("double").alias("median"))
+    return df.agg(F.array(*(stats(m) for m in metrics)).alias("r")).select(F.explode("r").alias("r")).select("r.*").where("mean IS NOT NULL")
 
 
 def segment_filter(df: DataFrame, rms: str | None = None, peak: str | None = None) -> DataFrame:

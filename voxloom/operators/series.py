@@ -5,19 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scan
+
 
 def running_mean(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("running_mean", F.avg(value).over(w)).withColumn("running_best", F.min(value).over(w))
+    """Add the mean and the least value so far; a group of any size is scanned by as many tasks as it needs, see ``scan``."""
+    rows = scan.carried(scan.ranged(df, group, order), group, order, value)
+    mean, best = scan.running(rows, group, order, value)
+    return scan.bare(rows.withColumn("running_mean", mean).withColumn("running_best", best))
 
 
 def bounded_mean(df: DataFrame, group: str, order: list[str], value: str, rows: int) -> DataFrame:
-    return df.withColumn("recent_mean", F.avg(value).over(Window.partitionBy(group).orderBy(*order).rowsBetween(1 - rows, 0)))
+    """Add the mean of the last ``rows`` values, this one included."""
+    parts = scan.carried(scan.ranged(df, group, order), group, order, value, tail=max(rows - 1, 1))
+    return scan.bare(parts.withColumn("recent_mean", scan.recent_mean(group, order, value, rows)))
 
 
 def changes(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
-    d = F.col(value) - F.lag(value).over(Window.partitionBy(group).orderBy(*order))
-    return df.withColumn("change", d).withColumn("trend", F.when(d.isNull(), "first").when(d < 0, "better").when(d > 0, "worse").otherwise("same"))
+    """Add the difference to the value before and what it means; null for the first."""
+    parts = scan.carried(scan.ranged(df, group, order), group, order, value, tail=1)
+    d = F.col("change")
+    rows = parts.withColumn("change", F.col(value) - scan.previous(group, order, value))
+    return scan.bare(rows.withColumn("trend", F.when(d.isNull(), "first").when(d < 0, "better").when(d > 0, "worse").otherwise("same")))
 
 
 def last_rows(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import integrity as I
 from ..operators import quality as Q
 from ..operators import splits as S
+from ..operators.quantiles import exact_quantiles
 from . import bindings as B
 
 GATE = Q.Thresholds(max_dc_offset=0.03)
@@ -65,6 +66,14 @@ def quality_summary_stats(spark, sf):
     return out.select("rows", "metric", *(R(c).alias(c) for c in ("mean", "std", "min", "max", "median")))
 
 
+def metric_quantiles(spark, sf):
+    """Exact quantiles of each metric and of the times of the events, whose values crowd in few of the first bins."""
+    probabilities = [0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0]
+    parts = [(B.measured(spark, sf), ["peak", "snr_db", "dc_offset"]), (B.events(spark, sf).select(F.col("value"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us")), ["value", "us"])]
+    rows = [(m, p, float(v)) for df, columns in parts for m, found in exact_quantiles(df, columns, probabilities, sorted_at_once=1000).items() for p, v in found.items()]
+    return spark.createDataFrame(rows, "metric string, p double, value double").select("metric", "p", R("value").alias("value"))
+
+
 def archive_gate_buckets(spark, sf):
     m = B.measured(spark, sf)
     out = None
@@ -226,6 +235,7 @@ def _messages(snr):
 
 _STATS = "round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(min(v), 6) AS min, round(max(v), 6) AS max, round(median(v), 6) AS median"
 _LONG = "SELECT is_good, unnest(['duration', 'peak', 'snr_db', 'dc_offset']) AS metric, unnest([duration, peak, snr_db, dc_offset]) AS v FROM "
+_P = "[0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0]::DOUBLE[]"
 _HAVE = "(SELECT DISTINCT doc_id FROM documents WHERE lang = 'en')"
 
 SQL = {
@@ -238,6 +248,7 @@ SQL = {
     "rejection_details": f"SELECT CASE code WHEN 'too_short' THEN printf('too_short_%.1fs', duration) WHEN 'too_long' THEN printf('too_long_%.1fs', duration) WHEN 'low_snr' THEN 'low_snr_' || CAST(CAST(snr_db AS DECIMAL(12,1)) AS VARCHAR) || 'dB' ELSE code END AS reason, count(*) AS n FROM (SELECT duration, l_ext AS snr_db, unnest(issues) AS code FROM (SELECT *, CAST(CAST(snr_db AS VARCHAR) AS DECIMAL(18,9)) AS l_ext FROM {_GATED})) GROUP BY 1",
     "quality_report": f"SELECT count(*) AS total, count(*) FILTER (is_good) AS kept, count(*) FILTER (NOT is_good) AS rejected, round(coalesce(avg(score) FILTER (is_good), 0), 6) AS mean_score, round(count(*) FILTER (NOT is_good)::DOUBLE / count(*), 6) AS rejection_rate FROM {_GATED}",
     "quality_summary_stats": f"SELECT 'all' AS rows, metric, {_STATS} FROM ({_LONG} {_GATED}) GROUP BY metric UNION ALL SELECT 'kept', metric, {_STATS} FROM ({_LONG} {_GATED}) WHERE is_good GROUP BY metric",
+    "metric_quantiles": " UNION ALL ".join(f"SELECT '{m}' AS metric, unnest({_P}) AS p, round(unnest(quantile_cont(CAST({m} AS DOUBLE), {_P})), 6) AS value FROM {t}" for t, ms in ((_MEASURED, ("peak", "snr_db", "dc_offset")), ("(SELECT value, epoch_us(ts) AS us FROM events)", ("value", "us"))) for m in ms),
     "archive_gate_buckets": f"SELECT bucket, count(*) AS n, 'normal' AS mode FROM ({_messages(15)}) GROUP BY bucket UNION ALL SELECT bucket, count(*), 'aggressive' FROM ({_messages(20)}) GROUP BY bucket",
     "duration_gate": "SELECT lang, CASE WHEN n_chars / 200.0 < 0.5 THEN 'too_short' WHEN n_chars / 200.0 > 10 THEN 'too_long' ELSE 'kept' END AS state, count(*) AS n FROM documents GROUP BY 1, 2",
     "duration_histogram30": "WITH d AS (SELECT n_chars / 200.0::DOUBLE AS x FROM documents), m AS (SELECT min(x) AS lo, max(x) AS hi FROM d) SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / ((hi - lo) / 30)), 29) END AS INTEGER) AS bin, count(*) AS n FROM d, m GROUP BY 1",
