@@ -37,6 +37,15 @@ def test_running_values(spark, rows):
     _same(series.changes(rows, "g", ORDER, "value"), want, ["change"])
 
 
+def test_rows_before_and_row_numbers(spark, rows):
+    w = Window.partitionBy("g").orderBy(*ORDER)
+    vectors = rows.withColumn("v", F.when(F.col("id") % 7 > 0, F.array("id", "at")))
+    got = scan.with_previous(vectors, "g", ORDER, "v", "before").withColumn("before", F.to_json(F.struct("before")))
+    want = vectors.withColumn("before", F.to_json(F.struct(F.lag("v").over(w).alias("before"))))
+    assert sorted((r["id"], r["before"]) for r in got.collect()) == sorted((r["id"], r["before"]) for r in want.collect())
+    _same(scan.row_numbers(rows, "g", ORDER, "i"), rows.withColumn("i", F.row_number().over(w)), ["i"])
+
+
 def test_many_small_ranges_carry_over_all_of_them(spark, rows):
     parts = scan.carried(scan.ranged(rows, "g", ORDER, n_ranges=300), "g", ORDER, "value", tail=60)
     want = rows.withColumn("m", F.avg("value").over(Window.partitionBy("g").orderBy(*ORDER).rowsBetween(-60, 0)))

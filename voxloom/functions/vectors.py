@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.scan import with_previous
+
 
 def bound(value: Column, use) -> Column:
     """``use(value)`` with ``value`` worked out once for a row.
@@ -155,47 +157,17 @@ def dim_std(df: DataFrame, vec: str) -> DataFrame:
     return df.select(F.posexplode(doubles(F.col(vec))).alias("pos", "x")).groupBy("pos").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"))
 
 
-#: Bytes of voices that may be held as one array.
-MAX_VOICE_BYTES = 64 << 20
-
-
-def _all_voices(voices: DataFrame, name: str, vec: str) -> Column:
-    """All (name, vec) as one array, a scalar; an error where they are no small table."""
-    size = voices.agg(F.coalesce(F.sum(F.size(vec) * F.lit(8) + F.octet_length(F.col(name).cast("string"))), F.lit(0)).alias("bytes")).first()["bytes"]
-    if size > MAX_VOICE_BYTES:
-        raise ValueError(f"{size} bytes of voices; at most {MAX_VOICE_BYTES} are compared at once")
-    return voices.agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), F.col(vec).alias("vec")))).alias("c")).scalar()
-
-
-def pairwise_distances(voices: DataFrame, name: str, vec: str) -> DataFrame:
-    """(a, b, distance) for a < b over a small set of pooled voices.
-
-    The candidates are one array of checked size, made by an aggregate and read
-    as a scalar, so no rows are crossed.
-    """
-    others = voices.select(F.col(name).alias("a"), F.col(vec).alias("va"), F.explode(_all_voices(voices, name, vec)).alias("o")).where("a < o.name")
-    return others.select("a", F.col("o.name").alias("b"), l2(F.col("va"), F.col("o.vec")).alias("distance"))
-
-
-def nearest(targets: DataFrame, voices: DataFrame, target_vec: str, name: str, vec: str, score=None) -> DataFrame:
-    """Add best and best_score: the voice with the least mse - cosine, the first name on ties."""
-    score = score or (lambda t, v: mse(t, v) - cosine(t, v))
-    candidates = _all_voices(voices, name, vec)
-    best = F.array_min(F.transform(F.col("_candidates"), lambda c: F.struct(score(F.col(target_vec), c["vec"]).alias("score"), c["name"].alias("name"))))
-    return targets.withColumn("_candidates", candidates).withColumn("_best", best).withColumn("best", F.col("_best.name")).withColumn("best_score", F.col("_best.score")).drop("_best", "_candidates")
-
-
 def smoothed(df: DataFrame, group: str, order: str, vec: str, previous: float = 0.2) -> DataFrame:
     """previous * the vector before (as it was) + the rest * this one; the first is unchanged."""
-    before = F.lag(vec).over(Window.partitionBy(group).orderBy(order))
-    mixed = F.zip_with(before, F.col(vec), lambda p, x: previous * p + (1 - previous) * x)
-    return df.withColumn("smoothed", F.coalesce(mixed, F.col(vec)))
+    rows = with_previous(df, group, [order], vec, "_before")
+    mixed = F.zip_with("_before", F.col(vec), lambda p, x: previous * p + (1 - previous) * x)
+    return rows.withColumn("smoothed", F.coalesce(mixed, F.col(vec))).drop("_before")
 
 
 def adjacent_distance(df: DataFrame, group: str, order: str, vec: str) -> DataFrame:
     """Distance to the vector before; null for the first."""
-    before = F.lag(vec).over(Window.partitionBy(group).orderBy(order))
-    return df.withColumn("step_l2", l2(F.col(vec), before)).withColumn("step_sq", F.pow(F.col("step_l2"), 2))
+    rows = with_previous(df, group, [order], vec, "_before")
+    return rows.withColumn("step_l2", l2(F.col(vec), F.col("_before"))).withColumn("step_sq", F.pow(F.col("step_l2"), 2)).drop("_before")
 
 
 def length_expanded(vec: Column, rows: int = 510) -> Column:

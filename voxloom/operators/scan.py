@@ -74,9 +74,26 @@ def recent_mean(group: str, order: list[str], value: str, size: int) -> Column:
     return F.try_divide(total, F.count(value).over(near) + F.size(halo))
 
 
-def previous(group: str, order: list[str], value: str) -> Column:
-    """The value one row before, for rows carried with a tail of one."""
-    return F.when(F.col(PLACE) > 1, F.lag(value).over(local(group, order))).otherwise(F.try_element_at(F.col(CARRY)["tail"], F.lit(-1)))
+def with_previous(df: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:
+    """Add the value, of any type, of the row before in the group; null for the first."""
+    rows = ranged(df, group, order)
+    last = rows.groupBy(RANGE, group).agg(F.max_by(value, F.struct(*order)).alias("_last"))
+    before = Window.partitionBy(group).orderBy(RANGE)
+    carry = last.select(F.col(RANGE).alias("_r"), F.col(group).alias("_group"), F.lag("_last").over(before).alias(CARRY), F.row_number().over(before).alias("_i")).where("_i > 1").drop("_i")
+    up = local(group, order)
+    seen = rows.withColumn(PLACE, F.row_number().over(up)).withColumn(name, F.lag(value).over(up))
+    joined = seen.join(F.broadcast(carry), (F.col(RANGE) == F.col("_r")) & F.col(group).eqNullSafe(F.col("_group")), "left").drop("_r", "_group")
+    return bare(joined.withColumn(name, F.when(F.col(PLACE) > 1, F.col(name)).otherwise(F.col(CARRY))))
+
+
+def row_numbers(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """Add the place in the group, from 1."""
+    rows = ranged(df, group, order)
+    before = Window.partitionBy(group).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(RANGE, group).agg(F.count("*").alias("_n"))
+    carry = parts.select(F.col(RANGE).alias("_r"), F.col(group).alias("_group"), F.sum("_n").over(before).alias(CARRY)).where(F.col(CARRY).isNotNull())
+    joined = rows.join(F.broadcast(carry), (F.col(RANGE) == F.col("_r")) & F.col(group).eqNullSafe(F.col("_group")), "left").drop("_r", "_group")
+    return bare(joined.withColumn(name, F.row_number().over(local(group, order)) + F.coalesce(F.col(CARRY), F.lit(0))))
 
 
 def bare(df: DataFrame) -> DataFrame:

@@ -23,10 +23,9 @@ def bounded_mean(df: DataFrame, group: str, order: list[str], value: str, rows:
 
 def changes(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
     """Add the difference to the value before and what it means; null for the first."""
-    parts = scan.carried(scan.ranged(df, group, order), group, order, value, tail=1)
     d = F.col("change")
-    rows = parts.withColumn("change", F.col(value) - scan.previous(group, order, value))
-    return scan.bare(rows.withColumn("trend", F.when(d.isNull(), "first").when(d < 0, "better").when(d > 0, "worse").otherwise("same")))
+    rows = scan.with_previous(df, group, order, value, "_before").withColumn("change", F.col(value) - F.col("_before")).drop("_before")
+    return rows.withColumn("trend", F.when(d.isNull(), "first").when(d < 0, "better").when(d > 0, "worse").otherwise("same"))
 
 
 def last_rows(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:

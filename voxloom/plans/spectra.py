@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import signal as G
@@ -10,6 +10,7 @@ from ..functions import spectra as S
 from ..functions import text as T
 from ..functions import vectors as V
 from ..operators import integrity as I
+from ..operators.scan import with_previous
 from . import bindings as B
 
 R = lambda c, n=6: F.round(c, n)
@@ -22,8 +23,7 @@ def _bands(vec: str, frames: Column | int = 8) -> Column:
 
 
 def _pairs(spark, sf):
-    before = F.lag("vec").over(Window.partitionBy("label").orderBy("vec_id"))
-    pairs = B.vectors(spark, sf).withColumn("before", before).where("before IS NOT NULL")
+    pairs = with_previous(B.vectors(spark, sf), "label", ["vec_id"], "vec", "before").where("before IS NOT NULL")
     return pairs.select("vec_id", "vec", "before", _bands("before").alias("p"), _bands("vec").alias("t"))
 
 

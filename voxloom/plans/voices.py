@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import signal as G
 from ..functions import vectors as V
 from ..operators import quality as Q
+from ..operators import search as N
+from ..operators.scan import row_numbers, with_previous
 from . import bindings as B
 
 R = lambda c, n=6: F.round(c, n)
@@ -44,17 +45,16 @@ def embedding_stats(spark, sf):
 
 
 def pairwise_distance(spark, sf):
-    return V.pairwise_distances(B.voices(spark, sf), "label", "vec").select("a", "b", R("distance").alias("distance"))
+    return N.pairwise_distances(B.voices(spark, sf), "label", "vec").select("a", "b", R("distance").alias("distance"))
 
 
 def diversity(spark, sf):
-    d = V.pairwise_distances(B.voices(spark, sf), "label", "vec").agg(F.avg("distance").alias("d"), F.count("*").alias("pairs"))
+    d = N.pairwise_distances(B.voices(spark, sf), "label", "vec").agg(F.avg("distance").alias("d"), F.count("*").alias("pairs"))
     return d.select("pairs", R("d").alias("mean_distance"), F.when(F.col("d") < 0.01, "collapsed").when(F.col("d") < 0.1, "low").otherwise("good").alias("diversity"))
 
 
 def _with_previous(spark, sf):
-    before = F.lag("vec").over(Window.partitionBy("label").orderBy("vec_id"))
-    return B.vectors(spark, sf).withColumn("before", before).where("before IS NOT NULL")
+    return with_previous(B.vectors(spark, sf), "label", ["vec_id"], "vec", "before").where("before IS NOT NULL")
 
 
 def voice_drift(spark, sf):
@@ -68,7 +68,7 @@ def top_changed_dims(spark, sf):
 
 
 def nearest_voice(spark, sf):
-    n = V.nearest(B.vectors(spark, sf), B.voices(spark, sf), "vec", "label", "vec")
+    n = N.nearest(B.vectors(spark, sf), B.voices(spark, sf), "vec_id", "vec", "label", "vec")
     return n.select("vec_id", "best", R("best_score").alias("best_score"))
 
 
@@ -110,8 +110,8 @@ def length_lookup(spark, sf):
 def middle_row(spark, sf):
     v = B.vectors(spark, sf)
     n = v.groupBy("label").agg(F.floor(F.count("*") / 2).alias("mid"))
-    ranked = v.select("label", "vec_id", (F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).alias("i"))
-    return ranked.join(n, "label").where("i = mid").select("label", "vec_id")
+    numbered = row_numbers(v.select("label", "vec_id"), "label", ["vec_id"], "i")
+    return numbered.join(n, "label").where("i - 1 = mid").select("label", "vec_id")
 
 
 def health_clamp(spark, sf):
