@@ -197,3 +197,33 @@ def test_clusters_that_fall_apart_in_blocks(spark, monkeypatch):
         monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
         assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs, 3, 85).collect()} == want
     assert met and 1 < len(set(want.values())) < len(rows)
+
+
+def test_every_text_of_a_repeated_id_has_its_links(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = [" ".join(f"{c}{i}" for i in range(120)) for c in "abcdef"]
+    rows = [(1, base[0] + " x"), (2, base[0] + " y"), (2, None), (3, base[1] + " x"), (4, base[1] + " y"), (4, "aa other"), (4, ""), (5, None), (5, None), (6, " ")]
+    for doc in rng.integers(10, 40, 60).tolist():
+        t = base[rng.integers(2, 6)].split()
+        t[rng.integers(0, 120)] = f"z{rng.integers(0, 50)}"
+        rows.append((doc, [None, "", " ".join(t), " ".join(t), " ".join(t)][rng.integers(0, 5)]))
+    rows += rows[:4]
+    sets = [(d, {tuple(w[i : i + 3]) for i in range(len(w) - 2)} or ({tuple(w)} if w else set())) for d, t in rows for w in [(t or "").split()]]
+    root = {d: d for d, _ in rows}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if x and 100 * len(x & y) >= 85 * len(x | y):
+                small, large = sorted((find(a), find(b)))
+                root[large] = small
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((d, len(s), find(d), d == find(d)) for d, s in sets)
+    for block in (2000, 4):
+        monkeypatch.setattr(near_dedup, "BLOCK_DOCS", block)
+        assert sorted(map(tuple, near_dedup.near_groups(docs, 3, 85).collect())) == want
+    assert len({w[2] for w in want}) < len({w[0] for w in want}) - 5
+    with pytest.raises(ValueError):
+        near_dedup.near_groups(docs.withColumnRenamed("doc_id", "kept"), id_col="kept")

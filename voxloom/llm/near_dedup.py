@@ -39,8 +39,8 @@ BLOCK_DOCS, BLOCK_SHINGLES = 2_000, 2_000_000
 PIVOTS = 16
 CHUNK_BYTES = 2 << 20
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-SIGNATURE = "doc long, n_shingles long, print binary, bands array<long>"
-SIGNATURE_TYPE = pa.schema([("doc", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SIGNATURE = "doc long, n_shingles long, print binary, bands array<long>, h long"
+SIGNATURE_TYPE = pa.schema([("doc", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("bands", pa.list_(pa.int64())), ("h", pa.int64())])
 
 
 def shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +80,7 @@ def super_minhash(prints: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signatures(ids: list[int], texts: list[bytes], k: int) -> pa.RecordBatch:
+def _signatures(ids: list[int], texts: list[bytes], hashes: list[int], k: int) -> pa.RecordBatch:
     prints, counts = shingles(texts, k)
     signature = super_minhash(prints, counts)
     bands = np.zeros((len(texts), BANDS), np.uint64)
@@ -94,6 +94,7 @@ def _signatures(ids: list[int], texts: list[bytes], k: int) -> pa.RecordBatch:
         pa.array(counts, pa.int64()),
         pa.array([p.tobytes() if n else None for p, n in zip(set_print, counts.tolist(), strict=True)], pa.binary()),
         pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.view(np.int64).ravel())),
+        pa.array(hashes, pa.int64()),
     ]
     return pa.RecordBatch.from_arrays(rows, schema=SIGNATURE_TYPE)
 
@@ -101,9 +102,9 @@ def _signatures(ids: list[int], texts: list[bytes], k: int) -> pa.RecordBatch:
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
-    for ids, texts, _ in repeats._chunks(batch["doc"], batch["text"]):
-        yield ids.tolist(), texts
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes], list[int]]]:
+    for ids, texts, hashes in repeats._chunks(batch["doc"], batch["text"], batch["h"]):
+        yield ids.tolist(), texts, hashes
 
 
 def confirmed_links(texts: list[bytes], k: int, percent: int) -> list[tuple[int, int]]:
@@ -140,21 +141,21 @@ def _blocks(size: str, weight: str) -> Column:
 
 
 def _outside(members: DataFrame, groups: DataFrame, n: int) -> DataFrame:
-    """The members (node, root, size, n_blocks, n_shingles) of clusters that aren't in the largest group of their cluster so far."""
+    """The members (node, h, root, size, n_blocks, n_shingles) of clusters that aren't in the largest group of their cluster so far."""
     known = members.join(groups.select("node", F.col("root").alias("group")), "node", "left").withColumn("group", F.coalesce("group", "node"))
     counted = known.groupBy("root", "group").agg(F.count("*").alias("n"), F.first("size").alias("all"))
     largest = counted.groupBy("root").agg(F.max_by("group", F.struct("n", "group")).alias("largest"), F.first("all").alias("all"))
     rest = common.join_groups(known, largest, "root", "all", n).where(F.col("group") != F.col("largest"))
-    return common.checkpoint(rest.select("node", "root", "size", "n_blocks", "n_shingles"))
+    return common.checkpoint(rest.select("node", "h", "root", "size", "n_blocks", "n_shingles"))
 
 
 def _against_all(members: DataFrame, rest: DataFrame, n: int) -> DataFrame:
-    """(doc, task): blocks of the rest of each cluster, each with all blocks of the cluster in turn."""
+    """(doc, h, task): blocks of the rest of each cluster, each with all blocks of the cluster in turn."""
     cut = rest.groupBy("root").agg(F.count("*").alias("n_rest"), F.sum("n_shingles").alias("weight"), F.first("size").alias("size")).select("root", "size", _blocks("n_rest", "weight").alias("n_rest"))
     numbers = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    theirs = common.join_groups(members.drop("size"), cut, "root", "size", n).select("node", "root", "block", numbers("n_rest").alias("other"))
-    own = common.join_groups(rest.drop("size"), cut, "root", "size", n).withColumn("other", F.pmod(F.xxhash64("node"), F.col("n_rest")).cast("int")).select("node", "root", numbers("n_blocks").alias("block"), "other")
-    return theirs.unionByName(own).distinct().select(F.col("node").alias("doc"), F.xxhash64("root", "block", "other").alias("task"))
+    theirs = common.join_groups(members.drop("size"), cut, "root", "size", n).select("node", "h", "root", "block", numbers("n_rest").alias("other"))
+    own = common.join_groups(rest.drop("size"), cut, "root", "size", n).withColumn("other", F.pmod(F.xxhash64("node", "h"), F.col("n_rest")).cast("int")).select("node", "h", "root", numbers("n_blocks").alias("block"), "other")
+    return theirs.unionByName(own).distinct().select(F.col("node").alias("doc"), "h", F.xxhash64("root", "block", "other").alias("task"))
 
 
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -165,16 +166,18 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "tex
     of all, no words an empty set that is linked with nothing.  Documents are linked when
     100 * shared >= percent * union.  component_id is the smallest id reachable
     over links; the row with that id is kept.  Ids are integers; rows that share
-    an id count as one document, whose links are confirmed on the first of its
-    texts in order; a row with a null id is linked with nothing,
-    has a null component_id and is kept.  An empty table gives no rows.
+    an id count as one document with the links of all its texts, whose rows share
+    a component_id; a row with a null id is linked with nothing, has a null
+    component_id and is kept.  An empty table gives no rows; an id column named
+    like an added one is an error.
     """
+    common.require_absent(docs.select(id_col), "n_shingles", "component_id", "kept")
 
     @common.releasing
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts in _chunks(batch):
-                yield _signatures(ids, texts, k)
+            for ids, texts, hashes in _chunks(batch):
+                yield _signatures(ids, texts, hashes, k)
 
     @common.releasing
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,26 +185,28 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "tex
             found = confirmed_links(texts, k, percent) if len(ids) > 1 else []
             return pa.RecordBatch.from_pydict({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
-        task, ids, texts = None, [], []
+        task, ids, texts, last = None, [], [], None
         for batch in batches:
-            for row in zip(batch["task"].to_pylist(), batch["doc"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
+            for row in zip(batch["task"].to_pylist(), batch["doc"].to_pylist(), batch["h"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
                 if row[0] != task:
                     if ids:
                         yield links(ids, texts)
-                    task, ids, texts = row[0], [], []
-                if not ids or row[1] != ids[-1]:
+                    task, ids, texts, last = row[0], [], [], None
+                if row[1:3] != last:  # a repeated row counts once
+                    last = row[1:3]
                     ids.append(row[1])
-                    texts.append(row[2])
+                    texts.append(row[3])
         if ids:
             yield links(ids, texts)
 
     null_ids = docs.where(F.col(id_col).isNull())
-    thin = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), common.text_or_empty(text).alias("text"))
+    thin = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), common.text_or_empty(text).alias("text")).withColumn("h", F.xxhash64("text"))
     signed = common.checkpoint(thin.mapInArrow(sign, SIGNATURE))
     n = signed.count()
     filled = signed.where("print IS NOT NULL")
-    nodes = filled.groupBy("print").agg(F.min("doc").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.max("n_shingles").alias("n_shingles"))
-    nodes = common.checkpoint(nodes)
+    # A set stands for its rows by one of them: the node is its id, h tells its text from others of that id.
+    nodes = filled.groupBy("print").agg(F.min(F.struct("doc", "h")).alias("row"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.max("n_shingles").alias("n_shingles"))
+    nodes = common.checkpoint(nodes.select("print", F.col("row.doc").alias("node"), "row.h", "copies", "bands", "n_shingles"))
 
     bands = nodes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("size")).where("size > 1")
@@ -209,29 +214,37 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "tex
     clusters = components(candidates)
 
     def confirmed(tasks: DataFrame) -> DataFrame:
-        rows = thin.join(tasks, "doc").repartition(common.shuffle_partitions(docs.sparkSession), "task").sortWithinPartitions("task", "doc", "text")
+        rows = thin.join(tasks, ["doc", "h"]).repartition(common.shuffle_partitions(docs.sparkSession), "task").sortWithinPartitions("task", "doc", "h")
         return common.checkpoint(rows.mapInArrow(confirm, "a long, b long"))
 
-    sized = clusters.join(nodes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node")
+    sized = clusters.join(nodes.select("node", "h", "n_shingles"), "node")
     blocks = sized.groupBy("root").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("weight")).select("root", "size", _blocks("size", "weight").alias("n_blocks"))
-    members = common.join_groups(sized, blocks, "root", "size", n).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
+    members = common.join_groups(sized, blocks, "root", "size", n).withColumn("block", F.pmod(F.xxhash64("node", "h"), F.col("n_blocks")).cast("int"))
     members = common.checkpoint(members)
     large = members.where("n_blocks > 1")
-    pivots = large.groupBy("root", "n_blocks", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(PIVOTS)).alias("of")).agg(F.min("node").alias("node"))
-    pivots = pivots.select("node", "root", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
-    links = confirmed(members.select("node", "root", "block").unionByName(pivots).distinct().select(F.col("node").alias("doc"), F.xxhash64("root", "block").alias("task")))
+    pivots = large.groupBy("root", "n_blocks", F.pmod(F.xxhash64("node", "h", F.lit(1)), F.lit(PIVOTS)).alias("of")).agg(F.min(F.struct("node", "h")).alias("row"))
+    pivots = pivots.select("row.node", "row.h", "root", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
+    links = confirmed(members.select("node", "h", "root", "block").unionByName(pivots).distinct().select(F.col("node").alias("doc"), "h", F.xxhash64("root", "block").alias("task")))
     groups = components(links)
     rest = _outside(large, groups, n)
     if not rest.isEmpty():
         links = links.unionByName(confirmed(_against_all(large, rest, n)))
         groups = components(links)
+    again = signed.groupBy("doc").agg(F.count("*").alias("times")).where("times > 1")
+    texts_of = common.checkpoint(common.join_groups(filled.select("doc", "print"), again, "doc", "times", n).select("doc", "print").distinct())
+    repeats_ids = not texts_of.isEmpty()
+    if repeats_ids:  # the sets of a repeated id are one document
+        links = links.unionByName(common.join_groups(texts_of, nodes.select("print", "node", "copies"), "print", "copies", n).select(F.col("doc").alias("a"), F.col("node").alias("b")))
+        groups = components(links)
 
     labelled = nodes.select("print", "node", "copies").join(groups, "node", "left").select("print", "copies", F.coalesce("root", "node").alias("component_id"))
     rows = common.join_groups(filled.select("doc", "n_shingles", "print"), labelled, "print", "copies", n).select("doc", "n_shingles", "component_id")
-    rows = rows.unionByName(signed.where("print IS NULL").select("doc", "n_shingles", F.col("doc").alias("component_id")))
+    empty = signed.where("print IS NULL").select("doc", "n_shingles")
+    empty = empty.join(groups.select(F.col("node").alias("doc"), "root"), "doc", "left") if repeats_ids else empty.withColumn("root", F.col("doc"))
+    rows = rows.unionByName(empty.select("doc", "n_shingles", F.coalesce("root", "doc").alias("component_id")))
     kind = dict(docs.dtypes)[id_col]
     rows = rows.select(F.col("doc").cast(kind).alias(id_col), "n_shingles", F.col("component_id").cast(kind).alias("component_id"), (F.col("doc") == F.col("component_id")).alias("kept"))
-    lost = null_ids.select(F.lit(NO_ID).cast("long").alias("doc"), common.text_or_empty(text).alias("text")).mapInArrow(sign, SIGNATURE)
+    lost = null_ids.select(F.lit(NO_ID).cast("long").alias("doc"), common.text_or_empty(text).alias("text"), F.lit(0).cast("long").alias("h")).mapInArrow(sign, SIGNATURE)
     return rows.unionByName(lost.select(F.lit(None).cast(kind).alias(id_col), "n_shingles", F.lit(None).cast(kind).alias("component_id"), F.lit(True).alias("kept")))
 
 
