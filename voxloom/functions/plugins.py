@@ -39,21 +39,34 @@ def first_of(*values: Column) -> Column:
     return F.coalesce(*values)
 
 
-def energy_segments(signal: Column, frame: int, threshold: float) -> Column:
-    """Array of (start, end) in samples of runs of frames whose mean square passes the threshold: voice activity without a model."""
-    n = F.floor(F.size(signal) / frame).cast("int")
-    loud = F.transform(
-        F.slice(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), 1, n),
-        lambda i: F.struct(i.alias("i"), (F.aggregate(F.slice(signal, i * frame + 1, F.lit(frame)), F.lit(0.0), lambda a, x: a + x * x) / frame > threshold).alias("on")),
-    )
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-
-    def step(acc: Column, f: Column) -> Column:
-        joins = (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] == f["i"] * frame)
-        run = F.struct(F.when(joins, F.element_at(acc, -1)["start"]).otherwise(f["i"] * frame).alias("start"), ((f["i"] + 1) * frame).alias("end"))
-        return F.when(~f["on"], acc).otherwise(F.array_append(F.when(joins, F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(acc), run))
-
-    return F.aggregate(F.when(F.size(signal) >= frame, loud).otherwise(F.slice(loud, 1, 0)), empty, step)
+@F.udtf(returnType="start int, end int")
+class VoiceActivity:
+    """One signal to the (start, end) in samples of its speech, without a model.
+
+    A frame is loud if its mean square passes the threshold.  Speech goes on over
+    up to ``hangover`` quiet frames if a loud one follows them; a stretch of fewer
+    than ``least`` frames is dropped.  What follows the last whole frame is not
+    looked at.  A null or empty signal has no rows; a null sample is silence.
+    """
+
+    def eval(self, signal: list, frame: int, threshold: float, hangover: int = 0, least: int = 1):
+        n = len(signal) // frame if signal is not None else 0
+        if not n:
+            return
+        x = np.nan_to_num(np.array(signal[: n * frame], float))
+        loud = np.flatnonzero((x * x).reshape(n, frame).mean(1) > threshold)
+        if not len(loud):
+            return
+        breaks = np.flatnonzero(np.diff(loud) > hangover + 1)
+        for first, last in zip(loud[np.concatenate([[0], breaks + 1])].tolist(), loud[np.append(breaks, -1)].tolist(), strict=True):
+            if last + 1 - first >= least:
+                yield first * frame, (last + 1) * frame
+
+
+def voice_activity(df: DataFrame, signal: str, frame: int, threshold: float, hangover: int = 0, least: int = 1) -> DataFrame:
+    """A row for each stretch of speech of each row, with its start and end; rows without speech are absent."""
+    found = VoiceActivity(F.col(signal).outer(), F.lit(frame), F.lit(float(threshold)), F.lit(hangover), F.lit(least))
+    return df.lateralJoin(found)
 
 
 def project(vec: Column, layers: list[tuple[np.ndarray, np.ndarray]]) -> Column:

@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import plugins as P
 from ..functions import signal as G
+from ..operators.series import alerts
 from ..streaming import monitor as M
 from . import bindings as B
 from .voices import FILTER_SQL
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared checkpoint folder; a local one only where none is set and the master is local."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="stream-")
-
-
 def _stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events as they come, from one file or a folder of part files."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
@@ -31,23 +22,57 @@ def _stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_dedup_keys(spark, sf):
-    folder = _folder(spark)
+    folder = storage.folder(spark)
     keys = _stream(spark, sf).select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
     M.run_available(keys, f"{folder}/out", f"{folder}/state").awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 
+def _last_update(spark, df, key: str, *values: str) -> DataFrame:
+    """Run the stream over all that is there; of each key's updates the last."""
+    folder = storage.folder(spark)
+    M.run_available(df, f"{folder}/out", f"{folder}/state", mode="update").awaitTermination()
+    out = M.BatchSink(f"{folder}/out").read(spark)
+    return out.groupBy(key).agg(F.max_by(F.struct(*values), "batch").alias("r")).select(key, "r.*")
+
+
 def stream_latest_by_tag(spark, sf):
-    folder = _folder(spark)
-    latest = M.latest_by_tag(_stream(spark, sf), "event_type", "ts", "event_id")
-    M.run_available(latest, f"{folder}/out", f"{folder}/state", mode="update").awaitTermination()
-    out = spark.read.parquet(f"{folder}/out")
-    return out.groupBy("event_type").agg(F.max_by("latest", "batch").alias("latest"))
+    return _last_update(spark, M.latest_by_tag(_stream(spark, sf), "event_type", "ts", "event_id"), "event_type", "latest")
+
+
+def stream_epochs_once(spark, sf):
+    """Summaries written once for each event of a day, and lines of batches between them."""
+    folder = storage.folder(spark)
+    day = F.dayofmonth("ts")
+    summary = F.format_string("Epoch %d/31 Summary: Training Loss: %.2f Validation Loss: %.2f", day, day / 4, day / 8)
+    line = F.when(F.col("event_type") == "view", F.format_string("[Epoch %d/31] Batch %d/9 | Loss: 1.5 | Avg: 1.0", day, day % 9)).otherwise(summary)
+    epochs = M.epochs_once(M.parsed(_stream(spark, sf).select(line.alias("value"))))
+    M.run_available(epochs, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+def stream_alerts(spark, sf):
+    """Alerts in a table of committed batches; the last batch is given to the sink once more."""
+    folder = storage.folder(spark)
+    tag = F.when(F.col("event_type") == "error", "train_loss").when(F.col("event_type") == "view", "timbre_mean").otherwise("other")
+    found = _stream(spark, sf).withColumn("tag", tag).withColumn("v", F.when(F.col("tag") == "train_loss", F.col("value") / 10).otherwise(F.col("value") / 500 - 0.5))
+    M.run_available(alerts(found, "tag", "v").select("event_id", "alert"), f"{folder}/out", f"{folder}/state", mode="update").awaitTermination()
+    sink = M.BatchSink(f"{folder}/out")
+    last = sink.read(spark).agg(F.max("batch")).first()[0]
+    if last is not None:
+        sink(sink.read(spark).where(F.col("batch") == last).drop("batch"), last)
+    return sink.read(spark).select("event_id", "alert")
+
+
+def stream_recent(spark, sf):
+    """The latest 100 values of each type of event, as list state."""
+    recent = M.recent_values(_stream(spark, sf).withColumn("at", F.unix_micros(F.col("ts").cast("timestamp"))), "event_type", "at", "value", 100)
+    return _last_update(spark, recent, "run", "mean", "n").select(F.col("run").alias("event_type"), F.round("mean", 6).alias("mean"), "n")
 
 
 def voice_activity(spark, sf):
-    v = B.vectors(spark, sf).select("vec_id", F.explode(P.energy_segments(F.col("vec"), 8, 0.02)).alias("s"))
-    return v.select("vec_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"))
+    """Frames of 4 samples; one quiet frame is bridged, a stretch of one frame dropped."""
+    return P.voice_activity(B.vectors(spark, sf), "vec", 4, 0.016, hangover=1, least=2).select("vec_id", "start", "end")
 
 
 def model_rows(spark, sf):
@@ -72,7 +97,12 @@ def enhanced_levels(spark, sf):
 SQL = {
     "stream_dedup_keys": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_latest_by_tag": "SELECT event_type, arg_max(event_id, ts) AS latest FROM events GROUP BY event_type",
-    "voice_activity": "WITH f AS (SELECT vec_id, i // 8 AS k, list_sum(list_transform(embedding[i + 1:i + 8], lambda x: x::DOUBLE * x::DOUBLE)) / 8 > 0.02 AS loud FROM (SELECT vec_id, embedding, unnest(range(0, 64, 8)) AS i FROM embeddings)), g AS (SELECT vec_id, k, k - row_number() OVER (PARTITION BY vec_id ORDER BY k) AS grp FROM f WHERE loud) SELECT vec_id, CAST(min(k) * 8 AS INTEGER) AS start, CAST(max(k) * 8 + 8 AS INTEGER) AS \"end\" FROM g GROUP BY vec_id, grp",
+    "stream_epochs_once": "SELECT DISTINCT CAST(dayofmonth(ts) AS INTEGER) AS epoch, round(dayofmonth(ts) / 4 + 1e-9, 2) AS train_loss, round(dayofmonth(ts) / 8 + 1e-9, 2) AS val_loss FROM events WHERE event_type <> 'view'",
+    "stream_alerts": "SELECT event_id, CASE WHEN event_type = 'error' THEN 'loss_high' ELSE 'timbre_drift' END AS alert FROM events WHERE (event_type = 'error' AND value / 10 > 10) OR (event_type = 'view' AND abs(value / 500 - 0.5) > 0.35)",
+    "stream_recent": "SELECT event_type, round(avg(value), 6) AS mean, count(*) AS n FROM (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r <= 100 GROUP BY event_type",
+    "voice_activity": """WITH f AS (SELECT vec_id, i // 4 AS k, list_sum(list_transform(embedding[i + 1:i + 4], lambda x: x::DOUBLE * x::DOUBLE)) / 4 > 0.016 AS loud FROM (SELECT vec_id, embedding, unnest(range(0, 64, 4)) AS i FROM embeddings)),
+      b AS (SELECT vec_id, k, CASE WHEN k - lag(k) OVER (PARTITION BY vec_id ORDER BY k) <= 2 THEN 0 ELSE 1 END AS new FROM f WHERE loud), g AS (SELECT vec_id, k, sum(new) OVER (PARTITION BY vec_id ORDER BY k) AS grp FROM b)
+      SELECT vec_id, CAST(min(k) * 4 AS INTEGER) AS start, CAST(max(k) * 4 + 4 AS INTEGER) AS "end" FROM g GROUP BY vec_id, grp HAVING max(k) - min(k) >= 1""",
     "model_rows": "SELECT count(*) FILTER (m < 0.3) AS n, 'ok' AS state FROM (SELECT list_max(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS m FROM embeddings) UNION ALL SELECT count(*) FILTER (m >= 0.3), 'failed' FROM (SELECT list_max(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS m FROM embeddings)",
 }
 SQL["enhanced_levels"] = f"""WITH {FILTER_SQL}, s AS (SELECT vec_id, j, x - avg(x) OVER (PARTITION BY vec_id) AS x FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS j FROM embeddings)),
