@@ -51,7 +51,7 @@ def test_regression_on_landmarks_solves_its_equations():
     rows = L.presence([_text(rng, lang, 15) for lang in langs])
     order = [i for k in range(12) for i in range(k, 48, 12)]
     rows, langs = rows[order], [langs[i] for i in order]
-    model = L.fit(rows, langs, n_landmarks=20, ridge=0.5)
+    model = L.fit(np.packbits(rows.astype(bool), axis=1), langs, n_landmarks=20, ridge=0.5)
     x = L._normalised(rows)
     kernel, inner = (x @ x[:20].T).astype(float), (x[:20] @ x[:20].T).astype(float)
     wanted = (np.array(langs)[:, None] == np.array(sorted(WORDS))[None]).astype(float)

@@ -89,23 +89,27 @@ def _normalised(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
 
 
-def fit(rows: np.ndarray, langs: list[str], n_landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Regression of 1 for a row's own language and 0 for others; the first rows are the landmarks."""
+def _unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, axis=1).astype(np.float32)
+
+
+def fit(bits: np.ndarray, langs: list[str], n_landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Regression of 1 for a row's own language and 0 for others; ``bits`` are packed rows, the first of them the landmarks."""
     learned = sorted(set(langs))
     if not learned:
         return Model([], np.zeros((0, DIMS // 8), np.uint8), np.zeros((0, 0)), np.zeros(0))
-    x = _normalised(rows)
-    marks = x[:n_landmarks]
-    values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
+    marks = _normalised(_unpacked(bits[:n_landmarks]))
+    kernel = np.concatenate([_normalised(_unpacked(bits[at : at + BATCH_TEXTS])) @ marks.T for at in range(0, len(bits), BATCH_TEXTS)]).astype(float)
+    values, vectors = np.linalg.eigh(kernel[:n_landmarks])
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # of the inverse
-    features = (x @ marks.T).astype(float) @ root
+    features = kernel @ root
     wanted = (np.array(langs)[:, None] == np.array(learned)[None]).astype(float)
     balance = (wanted / wanted.sum(0)).sum(1, keepdims=True) * len(langs) / len(learned)  # every language weighs the same
     centre, bias = (features * balance).mean(0), (wanted * balance).mean(0)
     f, y = features - centre, wanted - bias
     beta = np.linalg.solve(f.T @ (f * balance) + ridge * np.eye(f.shape[1]), f.T @ (y * balance))
-    return Model(learned, np.packbits(rows[:n_landmarks].astype(bool), axis=1), root @ beta, bias - centre @ beta)
+    return Model(learned, bits[:n_landmarks], root @ beta, bias - centre @ beta)
 
 
 class Scorer:
@@ -113,7 +117,7 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.marks = np.ascontiguousarray(_normalised(np.unpackbits(model.landmarks, axis=1).astype(np.float32)).T)
+        self.marks = np.ascontiguousarray(_normalised(_unpacked(model.landmarks)).T)
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if not self.model.langs:
@@ -156,7 +160,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
     found = sorted(tuple(r) for r in sample(docs, text, lang, id_col, max_docs, of_lang).collect())
     found = sorted((r for r in found if any(r[2])), key=lambda r: (r[1], r[0]))
     bits = np.frombuffer(b"".join(r[2] for r in found), np.uint8).reshape(len(found), DIMS // 8)
-    return fit(np.unpackbits(bits, axis=1).astype(np.float32), [r[0] for r in found], landmarks)
+    return fit(bits, [r[0] for r in found], landmarks)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
