@@ -304,20 +304,6 @@ def spectral_subtraction(x: Column, size: int = 512) -> Column:
     return _rows(kernel, "array<double>")(x)
 
 
-def in_new_rate(s: np.ndarray, rate: int, new_rate: int) -> np.ndarray:
-    n = max(1, round(len(s) * new_rate / rate))
-    spectrum = np.fft.rfft(s)
-    keep = np.zeros(n // 2 + 1, complex)
-    k = min(len(keep), len(spectrum))
-    keep[:k] = spectrum[:k]
-    return np.fft.irfft(keep, n) * n / len(s)
-
-
-def resample(x: Column, rate: int, new_rate: int) -> Column:
-    """Band-limited in the Fourier domain; the length is n * new_rate / rate, rounded."""
-    return _rows(lambda s: in_new_rate(s, rate, new_rate).tolist(), "array<double>")(x)
-
-
 def rescaled_index(i: Column, rate: int, base: int = 16_000) -> Column:
     """A sample's index at another rate, rounded down."""
     return F.floor(i * rate / base)

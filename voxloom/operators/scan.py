@@ -74,18 +74,27 @@ def recent_mean(group: str, order: list[str], value: str, size: int) -> Column:
     return F.try_divide(total, F.count(value).over(near) + F.size(halo))
 
 
-def with_previous(df: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:
-    """Add the value, of any type, of the row before in the group; null for the first."""
+def _with_neighbour(df: DataFrame, group: str, order: list[str], value: str, name: str, ahead: bool) -> DataFrame:
     rows = ranged(df, group, order)
-    last = rows.groupBy(RANGE, group).agg(F.max_by(value, F.struct(*order)).alias("_last"))
-    before = Window.partitionBy(group).orderBy(RANGE)
-    carry = last.select(F.col(RANGE).alias("_r"), F.col(group).alias("_group"), F.lag("_last").over(before).alias(CARRY), F.row_number().over(before).alias("_i")).where("_i > 1").drop("_i")
-    up = local(group, order)
-    seen = rows.withColumn(PLACE, F.row_number().over(up)).withColumn(name, F.lag(value).over(up))
+    last = (F.min_by if ahead else F.max_by)(value, F.struct(*order))
+    over = Window.partitionBy(group).orderBy(F.desc(RANGE) if ahead else RANGE)
+    carry = rows.groupBy(RANGE, group).agg(last.alias("_last")).select(F.col(RANGE).alias("_r"), F.col(group).alias("_group"), F.lag("_last").over(over).alias(CARRY), F.row_number().over(over).alias("_i")).where("_i > 1").drop("_i")
+    through = Window.partitionBy(RANGE, group).orderBy(*(F.desc(c) if ahead else F.col(c) for c in order))
+    seen = rows.withColumn(PLACE, F.row_number().over(through)).withColumn(name, F.lag(value).over(through))
     joined = seen.join(F.broadcast(carry), (F.col(RANGE) == F.col("_r")) & F.col(group).eqNullSafe(F.col("_group")), "left").drop("_r", "_group")
     return bare(joined.withColumn(name, F.when(F.col(PLACE) > 1, F.col(name)).otherwise(F.col(CARRY))))
 
 
+def with_previous(df: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:
+    """Add the value, of any type, of the row before in the group; null for the first."""
+    return _with_neighbour(df, group, order, value, name, ahead=False)
+
+
+def with_next(df: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:
+    """Add the value, of any type, of the row behind in the group; null for the last."""
+    return _with_neighbour(df, group, order, value, name, ahead=True)
+
+
 def row_numbers(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
     """Add the place in the group, from 1."""
     rows = ranged(df, group, order)

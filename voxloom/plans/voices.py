@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
+from ..functions import augment as A
+from ..functions import pitch as P
+from ..functions import rates as S
 from ..functions import signal as G
 from ..functions import vectors as V
 from ..operators import quality as Q
@@ -226,7 +231,32 @@ def spectral_subtraction(spark, sf):
 
 
 def resampled(spark, sf):
-    return B.vectors(spark, sf).select("vec_id", G.resample(F.col("vec"), 24_000, 16_000).alias("x"))
+    """Each vector as a signal of 24 kHz at 16 kHz."""
+    x = B.vectors(spark, sf).select("vec_id", F.posexplode(S.resample(F.col("vec"), 24_000, 16_000)).alias("pos", "x"))
+    return x.select("vec_id", "pos", (R("x") + 0.0).alias("x"))
+
+
+def resampled_rows(spark, sf):
+    """All vectors of a label as one signal in rows of 64 samples, from 16 to 24 kHz: levels of the rows."""
+    v = row_numbers(B.vectors(spark, sf), "label", ["vec_id"], "i").select("label", ((F.col("i") - 1) * B.DIMS).alias("start"), "vec")
+    out = S.resample_rows(v, "label", "start", "vec", 16_000, 24_000)
+    return out.select("label", "start", F.size("vec").alias("n"), R(V.total(F.transform("vec", lambda x: x * x))).alias("energy"))
+
+
+def augmented(spark, sf):
+    """The signals as a training step sees them; the step is the id's remainder by three."""
+    step = F.col("vec_id") % 3
+    a = B.vectors(spark, sf).select("vec_id", F.posexplode(A.augmented(F.col("vec"), F.col("vec_id"), step)).alias("pos", "x"))
+    return a.select("vec_id", "pos", (R("x") + 0.0).alias("x"))
+
+
+def pitch_corrected(spark, sf):
+    """A voice-like tone for each vector, of 150 to 209 Hz at 8 kHz, moved to 180 Hz: its length, and whether its crossings of zero are those of the target."""
+    pitch = F.col("vec_id") % 60 + 150
+    tone = F.transform(F.sequence(F.lit(0), F.lit(1599)), lambda i: F.sin(i * pitch * (2 * math.pi / 8000)) * 0.5)
+    moved = B.vectors(spark, sf).select("vec_id", tone.alias("x")).select("vec_id", P.pitch_corrected(F.col("x"), 8000, 180.0).alias("x"))
+    crossings = F.size(F.filter(F.zip_with(F.slice("x", 1, 1599), F.slice("x", 2, 1599), lambda a, b: F.signum(a) * F.signum(b)), lambda c: c < 0))
+    return moved.select("vec_id", F.size("x").alias("n"), (F.abs(crossings - 72) <= 3).alias("on_target"))
 
 
 def high_passed(spark, sf):
@@ -320,5 +350,20 @@ _SIGNAL = "(SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(e
 FILTER_SQL = """f AS (SELECT k, power(least(k, 128 - k) * 24000.0 / 128 / 80, 8) / (1 + power(least(k, 128 - k) * 24000.0 / 128 / 80, 8)) AS r FROM (SELECT unnest(range(128)) AS k)),
     h AS (SELECT i, j, sum(r * (cos(2 * pi() * k * (i - j) / 128) + cos(2 * pi() * k * (i + j + 1) / 128))) / 128 AS w FROM f, (SELECT unnest(range(64)) AS i), (SELECT unnest(range(64)) AS j) GROUP BY i, j)"""
 SQL["high_passed"] = f"WITH {FILTER_SQL} SELECT vec_id, CAST(i AS INTEGER) AS pos, round(sum(w * x), 6) + 0.0 AS x FROM {_SIGNAL} JOIN h USING (j) GROUP BY vec_id, i"
-_ROWS_ONLY = ["pca_variance", "spectral_ratios", "pitch_stats", "log_mel", "stft_centroid", "log_spectra", "spectral_subtraction", "resampled", "voice_features"]
+SQL["resampled"] = f"""WITH w AS (SELECT m, j, 0.95 * 2 / 3 * CASE WHEN t = 0 THEN 1 ELSE sin(pi() * t) / (pi() * t) END * cos(pi() * t / 48) ** 2 AS w FROM (SELECT m, j, (j - m * 1.5::DOUBLE) * (0.95::DOUBLE * 2 / 3) AS t FROM (SELECT unnest(range(43)) AS m), (SELECT unnest(range(64)) AS j)) WHERE abs(t) < 24)
+    SELECT vec_id, CAST(m AS INTEGER) AS pos, round(sum(w * x), 6) + 0.0 AS x FROM {_SIGNAL} JOIN w USING (j) GROUP BY vec_id, m"""
+SQL["resampled_rows"] = """WITH i AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, embedding FROM embeddings),
+    x AS (SELECT label, i * 64 + unnest(range(64)) AS j, unnest(embedding)::DOUBLE AS x FROM i),
+    o AS (SELECT label, i, unnest(range((i * 64 * 3 + 1) // 2, ((i + 1) * 64 * 3 + 1) // 2)) AS m FROM i),
+    k AS (SELECT unnest(range(-26, 27)) AS k),
+    y AS (SELECT o.label, o.i, o.m, sum(x * 0.95 * CASE WHEN t = 0 THEN 1 ELSE sin(pi() * t) / (pi() * t) END * cos(pi() * t / 48) ** 2) AS y
+      FROM (SELECT label, i, m, m * 2 // 3 + k AS j, (m * 2 // 3 + k - m * 2 / 3::DOUBLE) * 0.95 AS t FROM o, k) o JOIN x USING (label, j) WHERE abs(t) < 24 GROUP BY o.label, o.i, o.m)
+    SELECT label, CAST((i * 64 * 3 + 1) // 2 AS BIGINT) AS start, CAST(count(*) AS INTEGER) AS n, round(sum(y * y), 6) AS energy FROM y GROUP BY label, i"""
+_U = lambda draw: f"(CAST(('0x' || substr(md5('42:' || vec_id || ':' || vec_id % 3 || ':{draw}'), 1, 13))::UBIGINT AS DOUBLE) / 4503599627370496)"
+_LINEAR = lambda source, factor: f"""(SELECT * EXCLUDE (v), list_transform(range(CAST(floor(len(v) * {factor}) AS BIGINT)), lambda i: v[CAST(least(floor(greatest(0.0::DOUBLE, (i + 0.5) / {factor} - 0.5)), len(v) - 1) AS BIGINT) + 1]
+    + (greatest(0.0::DOUBLE, (i + 0.5) / {factor} - 0.5) - least(floor(greatest(0.0::DOUBLE, (i + 0.5) / {factor} - 0.5)), len(v) - 1)) * (v[CAST(least(floor(greatest(0.0::DOUBLE, (i + 0.5) / {factor} - 0.5)) + 1, len(v) - 1) AS BIGINT) + 1] - v[CAST(least(floor(greatest(0.0::DOUBLE, (i + 0.5) / {factor} - 0.5)), len(v) - 1) AS BIGINT) + 1])) AS v FROM {source})"""
+SQL["augmented"] = f"""WITH f AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v, CASE WHEN {_U(0)} < 0.3 THEN 0.98::DOUBLE + {_U(1)} * 0.04::DOUBLE ELSE 1.0::DOUBLE END AS a, CASE WHEN {_U(2)} < 0.2 THEN 0.99::DOUBLE + {_U(3)} * 0.02::DOUBLE ELSE 1.0::DOUBLE END AS b, CASE WHEN {_U(4)} < 0.5 THEN 0.95::DOUBLE + {_U(5)} * 0.1::DOUBLE ELSE 1.0::DOUBLE END AS g FROM embeddings)
+    SELECT vec_id, CAST(unnest(range(len(v))) AS INTEGER) AS pos, round(unnest(list_transform(v, lambda x: x * g)), 6) + 0.0 AS x FROM {_LINEAR(_LINEAR("f", "a"), "b")}"""
+SQL["pitch_corrected"] = "SELECT vec_id, 1600 AS n, true AS on_target FROM embeddings"
+_ROWS_ONLY = ["pca_variance", "spectral_ratios", "pitch_stats", "log_mel", "stft_centroid", "log_spectra", "spectral_subtraction", "voice_features"]
 QUERIES = {name: globals()[name] for name in [*SQL, *_ROWS_ONLY]}

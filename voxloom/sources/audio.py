@@ -17,7 +17,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.signal import in_new_rate
+from ..functions.rates import in_new_rate
 from ..operators.splits import numbered
 from ..schema import MANIFEST
 from .manifest import write_manifest
