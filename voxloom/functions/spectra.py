@@ -1,15 +1,19 @@
 """Comparison of spectrograms: arrays of bands, each an array over frames.
 
 Two of them are compared over the frames that both have; a missing or empty
-one gives null.  All are array expressions.
+one gives null.  All are array expressions, but for the spectra of signals.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import vectors as V
 from .vectors import bound, total
@@ -99,6 +103,100 @@ def training_similarity(predicted: Column, target: Column) -> Column:
     return paired(predicted, target, losses)
 
 
+#: Weights of the six terms of a voice's similarity, where a run brings none of its own.
+VOICE_WEIGHTS = {
+    "mel_l1_weight": 0.23042650977238305,
+    "spectral_conv_weight": 0.2822633041696316,
+    "cosine_weight": 0.1757828735941619,
+    "centroid_weight": 0.18877395866922594,
+    "norm_reg_weight": 0.024094526382500217,
+    "smoothness_weight": 0.099250419143429,
+}
+#: Fixed value: the norm that an embedding is held to.
+TARGET_NORM = 0.15
+
+
+def voice_losses(predicted: Column, target: Column, embedding: Column) -> Column:
+    """struct of the six losses of a voice; see ``weighed_losses``."""
+    held = V.norm(embedding) - TARGET_NORM
+
+    def losses(p: Column, t: Column) -> Column:
+        x, y = F.flatten(p), F.flatten(t)
+        return F.struct(
+            (V.l1(x, y) / F.size(x)).alias("mel_l1"),
+            V.spectral_convergence(x, y).alias("spectral_conv"),
+            (1 - V.dot(x, y) / (F.greatest(V.norm(x), F.lit(1e-12)) * F.greatest(V.norm(y), F.lit(1e-12)))).alias("cosine"),
+            (V.l1(centroids(p), centroids(t)) / F.size(F.get(p, F.lit(0)))).alias("centroid"),
+            (held * held).alias("norm_reg"),
+            (V.mean(F.transform(embedding, lambda v: F.abs(v))) * 0.1).alias("smoothness"),
+        )
+
+    return paired(predicted, target, losses)
+
+
+def weighed_losses(losses: Column, weights: Column | None = None) -> Column:
+    """The weighted sum of a column of ``voice_losses``; lower is more alike.
+
+    ``weights`` is a struct with the names of ``VOICE_WEIGHTS``, as a run's
+    configuration has them; one that is null is the fixed one.
+    """
+    weight = lambda n: F.lit(VOICE_WEIGHTS[n]) if weights is None else F.coalesce(weights[n].cast("double"), F.lit(VOICE_WEIGHTS[n]))
+    return sum((weight(n) * losses[n.removesuffix("_weight")] for n in VOICE_WEIGHTS), F.lit(0.0))
+
+
+def perceptual_similarity(predicted: Column, target: Column, pitch_predicted: Column, pitch_target: Column) -> Column:
+    """struct of all that the perceptual score rests on, and the score from 0 to 1.
+
+    The pitch counts by the means of the voiced frames of both tracks, the
+    centre of mass by the correlation of its tracks, which is 0 where one is constant.
+    """
+    pitch = pitch_difference(pitch_predicted, pitch_target)["similarity"]
+
+    def parts(p: Column, t: Column) -> Column:
+        x, y = F.flatten(p), F.flatten(t)
+        return F.struct(V.cosine(x, y).alias("cosine"), V.pearson(x, y).alias("correlation"), (V.l2(x, y) / V.norm(y)).alias("convergence"), pitch.alias("pitch"), V.pearson(centroids(p), centroids(t)).alias("centroid"))
+
+    score = lambda s: V.perceptual_score(s["cosine"], s["correlation"], s["convergence"], s["pitch"], s["centroid"])
+    names = ("cosine", "correlation", "convergence", "pitch", "centroid")
+    return bound(paired(predicted, target, parts), lambda s: F.when(s.isNotNull(), F.struct(*(s[n].alias(n) for n in names), score(s).alias("score"))))
+
+
+def log_spectrum(x: np.ndarray, size: int) -> np.ndarray:
+    """Frames x frequencies: logs of the magnitudes, at least 1e-5, over the norm of the window; frames lie around every quarter of a window, ends are mirrored."""
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / size)
+    padded = np.pad(x, size // 2, "reflect" if len(x) > size // 2 else "constant")
+    frames = np.lib.stride_tricks.sliding_window_view(padded, size)[:: size // 4]
+    return np.log(np.maximum(np.abs(np.fft.rfft(frames * window)) / np.sqrt((window**2).sum()), 1e-5))
+
+
+def stft_distance(a: np.ndarray, b: np.ndarray, sizes: tuple[int, ...]) -> float:
+    """Mean over the window sizes of the mean distance of the log spectra, over the samples that both signals have."""
+    n = min(len(a), len(b))
+    return float(np.mean([np.abs(log_spectrum(a[:n], size) - log_spectrum(b[:n], size)).mean() for size in sizes]))
+
+
+def with_log_spectra(df: DataFrame, signal: str, name: str, sizes: tuple[int, ...] = (1024, 512, 256)) -> DataFrame:
+    """Add the spectra of each signal, an array over sizes of arrays over frames; null and empty signals have null."""
+
+    def spectra(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch[name] = [None if x is None or len(x) == 0 else [log_spectrum(np.asarray(x, float), n).tolist() for n in sizes] for x in batch[signal]]
+            yield batch
+
+    return df.mapInPandas(spectra, T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))]))
+
+
+def with_stft_distance(df: DataFrame, a: str, b: str, name: str, sizes: tuple[int, ...] = (1024, 512, 256)) -> DataFrame:
+    """Add the distance of two signals' spectra; null where one is null or empty.  A step of its own, so that what follows may use it inside lambdas."""
+
+    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch[name] = [None if x is None or y is None or not len(x) or not len(y) else stft_distance(np.asarray(x, float), np.asarray(y, float), sizes) for x, y in zip(batch[a], batch[b], strict=True)]
+            yield batch
+
+    return df.mapInPandas(distances, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
 def perceptual_weight(epoch: Column, largest: float = 0.15, start: int = 5, ramp: int = 10) -> Column:
     """Rises over ``ramp`` epochs from ``start`` on; 0 before."""
     return F.when(epoch >= start, F.least(F.lit(largest), F.greatest(F.lit(0.0), (epoch - start + 1) / max(ramp, 1) * largest))).otherwise(0.0)
@@ -124,6 +222,7 @@ def voice_loss(predicted: Column, target: Column, style: Column, epoch: Column,
         return F.struct((V.l1(x, y) / F.size(x)).alias("l1_loss"), V.mse(x, y).alias("mse_loss"), frequency.alias("freq_loss"), stft.alias("stft_loss"), regular.alias("style_reg_loss"), similar.alias("perceptual_loss"))
 
     names = ("l1_loss", "mse_loss", "freq_loss", "stft_loss", "style_reg_loss", "perceptual_loss")
+    # The weights of the parts.
     weighed = lambda s: (0.55 - weight) * s["l1_loss"] + 0.25 * s["mse_loss"] + 0.05 * s["freq_loss"] + 0.15 * s["stft_loss"] + weight * s["perceptual_loss"] + s["style_reg_loss"]
     return bound(paired(predicted, target, parts), lambda s: F.struct(*(s[n].alias(n) for n in names), weighed(s).alias("total_loss")))
 

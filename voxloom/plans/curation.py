@@ -84,6 +84,30 @@ def archive_gate_buckets(spark, sf):
     return out.where("bucket IS NOT NULL")
 
 
+def _all_metrics(spark, sf):
+    """lineitem with all metrics of a gate: 0.02 to 0.83 s long, so many rows are too short to be analysed."""
+    l = B.table(spark, sf, "lineitem")
+    return l.select((F.col("l_quantity") / 60).alias("duration"), (F.col("l_discount") * 10).alias("peak"), (F.col("l_extendedprice") / 1000).alias("snr_db"), (F.col("l_tax") - 0.04).alias("dc_offset"), (F.col("l_tax") * 2).alias("low_freq"), (F.col("l_discount") / 5).alias("clipping"))
+
+
+def gate_all_metrics(spark, sf):
+    """How often each combination of reasons occurs, with the score's sum: low frequencies, clipping and rows under the analysis minimum included."""
+    c = F.col
+    m = _all_metrics(spark, sf)
+    issues = Q.issues(GATE, c("duration"), c("peak"), c("snr_db"), c("dc_offset"), c("low_freq"))
+    score = Q.overall_score(c("snr_db"), c("low_freq"), c("peak"))
+    return m.groupBy(F.array_join(issues, ",").alias("issues")).agg(F.count("*").alias("n"), R(F.sum(score), 4).alias("score"))
+
+
+def archive_messages(spark, sf):
+    """The stricter gate's messages with every metric measured, by their text up to the value, and by bucket."""
+    c = F.col
+    t = Q.Thresholds(max_dc_offset=0.03, max_clipping=0.008, max_low_freq=0.1)
+    said = Q.messages(t, c("duration"), c("peak"), c("snr_db"), c("dc_offset"), c("low_freq"), c("clipping"))
+    rows = _all_metrics(spark, sf).select(F.explode(said).alias("m"))
+    return rows.groupBy(F.substring_index("m", ":", 1).alias("message"), Q.reason_bucket(c("m")).alias("bucket")).agg(F.count("*").alias("n"))
+
+
 def duration_gate(spark, sf):
     m = B.manifest(spark, sf)
     state = F.coalesce(F.get(Q.issues(Q.Thresholds(), F.col("duration")), F.lit(0)), F.lit("kept"))
@@ -215,6 +239,7 @@ def union_of_splits(spark, sf):
 
 
 _MEASURED = "(SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity AS duration, l_discount * 10 AS peak, l_extendedprice / 1000 AS snr_db, l_tax - 0.04 AS dc_offset FROM lineitem)"
+_ALL = "(SELECT l_quantity / 60 AS duration, l_discount * 10 AS peak, l_extendedprice / 1000 AS snr_db, l_tax - 0.04 AS dc_offset, l_tax * 2 AS low_freq, l_discount / 5 AS clipping FROM lineitem)"
 _ISSUES = """CASE WHEN duration < 0.05 THEN ['too_short', 'too_short_for_analysis'] ELSE list_filter([
   CASE WHEN duration < 0.5 THEN 'too_short' END, CASE WHEN duration > 10 THEN 'too_long' END,
   CASE WHEN peak < 0.01 THEN 'too_quiet' WHEN peak > 0.99 THEN 'clipping' END, CASE WHEN snr_db < 15 THEN 'low_snr' END,
@@ -250,6 +275,8 @@ SQL = {
     "quality_summary_stats": f"SELECT 'all' AS rows, metric, {_STATS} FROM ({_LONG} {_GATED}) GROUP BY metric UNION ALL SELECT 'kept', metric, {_STATS} FROM ({_LONG} {_GATED}) WHERE is_good GROUP BY metric",
     "metric_quantiles": " UNION ALL ".join(f"SELECT '{m}' AS metric, unnest({_P}) AS p, round(unnest(quantile_cont(CAST({m} AS DOUBLE), {_P})), 6) AS value FROM {t}" for t, ms in ((_MEASURED, ("peak", "snr_db", "dc_offset")), ("(SELECT value, epoch_us(ts) AS us FROM events)", ("value", "us"))) for m in ms),
     "archive_gate_buckets": f"SELECT bucket, count(*) AS n, 'normal' AS mode FROM ({_messages(15)}) GROUP BY bucket UNION ALL SELECT bucket, count(*), 'aggressive' FROM ({_messages(20)}) GROUP BY bucket",
+    "gate_all_metrics": f"SELECT issues, count(*) AS n, round(sum(least(1.0, snr_db / 20) * (1 - low_freq) * CASE WHEN peak < 0.5 THEN least(1.0, peak / 0.5) ELSE 1 - (peak - 0.5) / 0.5 END), 4) AS score FROM (SELECT *, array_to_string(CASE WHEN duration < 0.05 THEN ['too_short', 'too_short_for_analysis'] ELSE list_filter([CASE WHEN duration < 0.5 THEN 'too_short' END, CASE WHEN peak < 0.01 THEN 'too_quiet' WHEN peak > 0.99 THEN 'clipping' END, CASE WHEN snr_db < 15 THEN 'low_snr' END, CASE WHEN abs(dc_offset) > 0.03 THEN 'dc_offset' END, CASE WHEN low_freq > 0.1 THEN 'low_frequency_noise' END], lambda x: x IS NOT NULL) END, ',') AS issues FROM {_ALL}) GROUP BY issues",
+    "archive_messages": f"SELECT m[1] AS message, m[2] AS bucket, count(*) AS n FROM (SELECT unnest([CASE WHEN snr_db < 15 THEN ['Low SNR', 'Low SNR'] END, CASE WHEN clipping > 0.008 THEN ['High clipping', 'Clipping'] END, CASE WHEN abs(dc_offset) > 0.03 THEN ['High DC offset', 'DC offset'] END, CASE WHEN low_freq > 0.1 THEN ['High low-frequency noise', 'Low frequency noise'] END, CASE WHEN duration < 0.5 THEN ['too short', 'Too short'] END, CASE WHEN peak < 0.01 THEN ['too quiet', 'Too quiet'] END]) AS m FROM {_ALL}) WHERE m IS NOT NULL GROUP BY ALL",
     "duration_gate": "SELECT lang, CASE WHEN n_chars / 200.0 < 0.5 THEN 'too_short' WHEN n_chars / 200.0 > 10 THEN 'too_long' ELSE 'kept' END AS state, count(*) AS n FROM documents GROUP BY 1, 2",
     "duration_histogram30": "WITH d AS (SELECT n_chars / 200.0::DOUBLE AS x FROM documents), m AS (SELECT min(x) AS lo, max(x) AS hi FROM d) SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / ((hi - lo) / 30)), 29) END AS INTEGER) AS bin, count(*) AS n FROM d, m GROUP BY 1",
     "asr_segment_filter": f"SELECT conv_id, turn, round(s, 6) AS start, round(e, 6) AS \"end\" FROM {_SEG} WHERE coalesce(ns, 0) <= 0.4 AND coalesce(lp, -10) >= -1 AND e - s BETWEEN 1 AND 10 AND regexp_matches(text, '\\w')",
