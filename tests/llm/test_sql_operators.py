@@ -73,6 +73,24 @@ def test_repeats_in_two_steps_equal_those_in_one(spark, sf_dir, monkeypatch):
             assert sorted(map(str, operator(docs).drop("text").collect())) == want
 
 
+def test_two_steps_use_all_tasks(spark, sf_dir, monkeypatch):
+    docs = common.table(spark, sf_dir.replace("sf0.001", "sf0.01"), "documents").select("doc_id", "text").repartition(40)
+    sizes = []
+    dealt = repeats._by_range
+
+    def seen(messages, n_buckets):
+        out = dealt(messages, n_buckets)
+        held = out.groupBy(F.spark_partition_id()).agg(F.sum(F.length("prints")).alias("n")).collect()
+        sizes.append([r["n"] for r in held] + [0] * (out.rdd.getNumPartitions() - len(held)))
+        return out
+
+    monkeypatch.setattr(repeats, "FAN", 40)
+    monkeypatch.setattr(repeats, "_by_range", seen)
+    assert substring_dedup.substring_dedup(docs).count() == docs.count()
+    assert len(sizes) == 2 and all(len(s) == 16 and max(s) < 2 * sum(s) / len(s) for s in sizes)
+    assert [repeats.range_size(n) for n in (40, 41, 64, 10_000)] == [1, 7, 8, 100]
+
+
 def test_windows_whose_first_hash_collides_stay(spark, monkeypatch):
     plain = repeats.word_hashes
     monkeypatch.setattr(repeats, "word_hashes", lambda words, second=False: plain(words, True) if second else plain(words) & np.uint64(3))

@@ -11,9 +11,10 @@ Anchors are runs of half a window.  Two rounds go through the same exchange:
 
 Fingerprints travel in packed messages, one for each chunk of documents and
 bucket, so a row costs no more than a few bytes for each word.  Where there are
-more buckets than ``FAN``, messages go in two steps, first by ranges of ``FAN``
-buckets and there, packed again, by bucket; so their number grows with the
-input and not with its square.  In each step a fingerprint is sent on once,
+more buckets than ``FAN``, messages go in two steps, first by ranges of about the
+square root of their number and there, packed again, by bucket; so their number
+grows little faster than the input and not with its square.  A range is cut by
+salt, so all tasks take part whatever the number of ranges.  In each step a fingerprint is sent on once,
 however many documents have it, and what is already decided is passed on under a
 spread key; so a passage that a third of all documents share never gathers in
 one task.  Links are never listed in pairs.
@@ -21,6 +22,8 @@ one task.  Links are never listed in pairs.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -36,7 +39,7 @@ WINDOW = 50
 CHUNK_BYTES = 4 << 20
 HASH_BYTES = 1 << 18
 BUCKET_BYTES = 16 << 20
-#: Buckets that a chunk writes to, and fingerprints that a task packs again at once.
+#: Buckets that a chunk writes to at most, and fingerprints that a task packs again at once.
 FAN = 8192
 REPACK = 4_000_000
 #: Replies go out by document and bucket; with few buckets their number would not follow the input.
@@ -281,8 +284,19 @@ def _rows(batch: pa.RecordBatch | pa.Table) -> list[tuple]:
     return list(zip(*(batch[c].to_pylist() for c in FIELDS), strict=True))
 
 
+def range_size(n_buckets: int) -> int:
+    """Buckets of a range; 1 where messages go to their buckets at once."""
+    return math.isqrt(n_buckets - 1) + 1 if n_buckets > FAN else 1
+
+
+def _by_range(messages: DataFrame, n_buckets: int) -> DataFrame:
+    """Dealt by range and salt, a task for four buckets' worth of text."""
+    salt = F.pmod(F.xxhash64("docs"), F.lit(8 * range_size(n_buckets)))  # many for each task, so that tasks are alike
+    return messages.repartition(max(common.shuffle_partitions(messages.sparkSession), -(-n_buckets // 4)), "to", salt)
+
+
 def _repacked(messages: DataFrame, n_buckets: int, smaller: bool) -> DataFrame:
-    """Messages to ranges of buckets -> messages to buckets; equal fingerprints that arrive in a task become one."""
+    """Messages to ranges of buckets -> messages to buckets; equal fingerprints that arrive in a task become one, decided ones go anywhere."""
 
     def repack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
@@ -296,7 +310,7 @@ def _repacked(messages: DataFrame, n_buckets: int, smaller: bool) -> DataFrame:
             passed = []
             for message in _rows(batch):
                 if message[1]:
-                    passed.append((message[0] * FAN % n_buckets, *message))
+                    passed.append((zlib.crc32(message[2]) % n_buckets, *message))
                     continue
                 waiting.append(_opened(message, 2 if smaller else 1))
                 size += len(waiting[-1][0])
@@ -308,7 +322,7 @@ def _repacked(messages: DataFrame, n_buckets: int, smaller: bool) -> DataFrame:
         if waiting:
             yield from packed()
 
-    return messages.repartition(max(common.shuffle_partitions(messages.sparkSession), -(-n_buckets // FAN)), "to").mapInArrow(repack, MESSAGE)
+    return _by_range(messages, n_buckets).mapInArrow(repack, MESSAGE)
 
 
 def _meeting(messages: DataFrame, n_buckets: int, smaller: bool) -> DataFrame:
@@ -334,7 +348,7 @@ def remove_repeats(docs: DataFrame, choose: Chooser, window: int = WINDOW, text:
     half = window // 2
     size = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     n_buckets = max(MIN_BUCKETS, common.shuffle_partitions(docs.sparkSession), -(-size // BUCKET_BYTES))
-    to_range = FAN if n_buckets > FAN else 1
+    to_range = range_size(n_buckets)
     row_key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
