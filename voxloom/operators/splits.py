@@ -12,8 +12,13 @@ from pyspark.sql import functions as F
 
 
 def dedup_first(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Of rows with equal key the first in order; map-side combined, so a hot key costs one row a task."""
-    first = df.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.col(order)).alias("r"))
+    """Of rows with equal key the first in order; nulls are equal.
+
+    Rows meet by the SHA-256 of the key, so long keys travel once, inside their
+    row, and are neither sorted nor compared.  A task gives one row for each key
+    that it has, so a hot key costs one row a task.
+    """
+    first = df.groupBy(F.sha2(F.col(key).cast("string").cast("binary"), 256).alias("_h")).agg(F.min_by(F.struct(*df.columns), F.col(order)).alias("r"))
     return first.select("r.*")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import io
 import uuid
 import wave
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -51,15 +51,27 @@ def encode(samples: np.ndarray, rate: int) -> bytes:
     return out.getvalue()
 
 
-def signals(files: DataFrame, rate: int | None = None) -> DataFrame:
-    """(path, rate, samples, duration, error) of files (path, content), at ``rate`` or at their own."""
+#: A file's content -> its rate and mono signal.
+Decoder = Callable[[bytes], tuple[int, np.ndarray]]
+
+
+def signals(files: DataFrame, rate: int | None = None, decoders: dict[str, Decoder] | None = None) -> DataFrame:
+    """(path, rate, samples, duration, error) of files (path, content), at ``rate`` or at their own.
+
+    ``decoders`` adds formats by the lower-case ending of the name, such as
+    ``flac``; a file with an ending that none is known for has an error.
+    """
+    known = {"wav": decode, "wave": decode, **(decoders or {})}
 
     def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 row = {"path": path, "rate": None, "samples": None, "duration": None, "error": None}
                 try:
-                    own, x = decode(bytes(content))
+                    ending = path.rsplit("/", 1)[-1].rpartition(".")[2].lower()
+                    if ending not in known:
+                        raise ValueError(f"no decoder for .{ending} files")
+                    own, x = known[ending](bytes(content))
                     x = x if rate in (None, own) or not len(x) else in_new_rate(x, own, rate)
                     row.update(rate=rate or own, samples=x, duration=len(x) / (rate or own))
                 except Exception as e:  # noqa: BLE001 - any damage of a file belongs to its row
@@ -69,9 +81,10 @@ def signals(files: DataFrame, rate: int | None = None) -> DataFrame:
     return files.select("path", "content").mapInPandas(decoded, SIGNAL)
 
 
-def read_audio(spark: SparkSession, root: str, rate: int | None = None, pattern: str = "*.wav") -> DataFrame:
-    """``signals`` of all files under a folder."""
-    return signals(spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root), rate)
+def read_audio(spark: SparkSession, root: str | list[str], rate: int | None = None, pattern: str | None = None, decoders: dict[str, Decoder] | None = None) -> DataFrame:
+    """``signals`` of all files under folders: of the formats that can be decoded, or of those that a pattern names."""
+    wanted = pattern or "*.{" + ",".join(sorted(x for e in {"wav", *(decoders or {})} for x in (e, e.upper()))) + "}"
+    return signals(spark.read.format("binaryFile").option("pathGlobFilter", wanted).option("recursiveFileLookup", "true").load(root), rate, decoders)
 
 
 def audio_only(heard: DataFrame) -> DataFrame:
