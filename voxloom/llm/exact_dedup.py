@@ -1,7 +1,7 @@
 """Exact deduplication with a two-pass Bloom filter (DataFrame functions only).
 
-Pass one reads the texts once and counts their 64-bit hashes, combined map-side
-and partitioned by hash: a row of 8 bytes for each text of a task.  The hashes
+Pass one reads the texts once and counts their 64-bit hashes with a shuffle of
+8 bytes for each text, after equal ones of a task were combined.  The hashes
 that occur twice, and no others, set three bits each of a Bloom filter.  Pass
 two tests every row against the filter: a row of which one bit is not set has
 no equal and passes straight through; only the rest are shuffled and compared,

@@ -3,9 +3,9 @@
 Of each document only the suffixes at minimiser positions are retained: in
 every run of words as long as a window, the half-window with the least
 fingerprint.  Two occurrences of a passage have the same minimisers, so their
-suffixes are retained alike.  The suffixes are sorted by the fingerprint of
-their first words within each bucket and compared with their neighbours; equal
-ones are extended left and right to whole windows as ``repeats`` describes.
+suffixes are retained alike.  No suffix is sorted by its words: suffixes meet in
+buckets by the fingerprint of their first half-window, and those that meet are
+extended to whole windows as ``repeats`` describes.  README says why.
 """
 
 from __future__ import annotations
