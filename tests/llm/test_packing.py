@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from voxloom.llm import packing
@@ -141,3 +142,9 @@ def test_alike_documents_share_a_task_wherever_they_stand(spark):
     for r in rows:
         topics[r["sequence_id"] >> 32].add(r["doc_id"] % 10)
     assert len(topics) > 5 and np.mean([len(x) for x in topics.values()]) < 4
+
+
+def test_an_id_column_named_like_an_output_is_an_error(spark):
+    docs = spark.createDataFrame([(1, "a")], "ids long, text string")
+    with pytest.raises(ValueError, match="ids"):
+        packing.pack(docs, packing.tokenizer_file(), id_col="ids")

@@ -422,8 +422,10 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str =
     document's tokens are its text's ids and the end id, so null and empty texts
     have one token; every token is in exactly one piece.  Rows are packed as they
     are: repeated rows and repeated or null ids are documents of their own.  An
-    empty table gives no rows; other columns are not carried.
+    empty table gives no rows; other columns are not carried.  An id column named
+    like an added one is an error.
     """
+    common.require_absent(docs.select(id_col), "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
     spark = docs.sparkSession
     id_type = dict(docs.dtypes)[id_col]
     size = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
