@@ -52,5 +52,41 @@ def test_stages_against_brute_force(spark, sf_dir, tmp_path):
     assert {r["doc_id"] for r in pieces} == set(kept)
 
 
+def _tokens(pieces):
+    out = {}
+    for r in sorted(pieces.collect(), key=lambda r: (r["doc_id"], r["start"])):
+        out[r["doc_id"]] = out.get(r["doc_id"], b"") + bytes(r["ids"])
+    return out
+
+
 def test_run_equals_the_stages(spark, sf_dir):
-    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+    docs = common.table(spark, sf_dir, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = common.checkpoint(stage(spark, docs, sf_dir))
+    want = _tokens(docs)
+    assert _tokens(corpus_pipeline.run(spark, sf_dir)) == want and len(want) > 50
+
+
+def test_stages_on_nulls_empty_texts_repeats_and_no_rows(spark, sf_dir):
+    schema = common.table(spark, sf_dir, "documents").schema
+    long = " ".join(f"word{i}" for i in range(300))
+    rows = [(1, None, "en", "s", None), (2, "", None, None, 0), (3, long, "en", "s", 9), (3, long, "en", "s", 9), (4, long, None, "s", 9), (5, long + " more", "en", "s", 9), (None, long, "en", "s", 9), (None, None, None, None, None), (6, "x" * 200_000, "en", "s", 9), (7, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, schema)
+    scored = quality.score_quality(docs, quality.train_field(docs, common.table(spark, sf_dir, "labels")), name="q").collect()
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["quality"](spark, docs, sf_dir)
+    assert kept.columns == docs.columns and kept.count() == sum(r["q"] >= quality.THRESHOLD for r in scored)
+    single = stages["exact_dedup"](spark, docs, sf_dir)
+    assert sorted((r["doc_id"], len(r["text"] or "")) for r in single.collect()) == sorted([(7, 0), (4, len(long)), (5, len(long) + 5), (6, 200_000)])
+    near = stages["near_dedup"](spark, single, sf_dir)
+    assert sorted(r["doc_id"] for r in near.collect()) == [4, 6, 7]
+    whole = stages["near_dedup"](spark, docs, sf_dir)
+    assert sorted(str(r["doc_id"]) for r in whole.collect()) == sorted(map(str, [1, 2, 3, 3, None, None, 6, 7]))
+    clean = stages["decontamination"](spark, docs, sf_dir)
+    assert clean.count() == len(rows) and clean.columns == docs.columns
+    pieces = stages["packing"](spark, docs, sf_dir).collect()
+    assert sum(r["start"] == 0 for r in pieces) == len(rows) and {r["doc_tokens"] for r in pieces if r["doc_id"] in (1, 2, 7)} == {1}
+    empty = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, sf_dir)
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
