@@ -148,3 +148,26 @@ def test_an_id_column_named_like_an_output_is_an_error(spark):
     docs = spark.createDataFrame([(1, "a")], "ids long, text string")
     with pytest.raises(ValueError, match="ids"):
         packing.pack(docs, packing.tokenizer_file(), id_col="ids")
+
+
+def test_terms_of_many_documents_are_counted_by_one_sort(monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = [(rng.zipf(1.3, rng.integers(1, 200)) % 300).astype(kind) for kind in ("<u2", "<u4") for _ in range(150)]
+    ids, sizes = np.concatenate(docs), np.array([len(d) for d in docs])
+    want = [np.unique(d, return_counts=True) for d in docs]
+    plain = packing.Shard(docs[::5])
+    score = np.array([plain.score(t) for t, _ in want])
+    df = np.bincount(np.concatenate([t for t, _ in want]), minlength=1 << 16)
+    monkeypatch.setattr(np, "unique", None)  # not once for each document
+    for shift in (0, 1 << 31):  # keys of 32 and of 64 bits
+        doc, terms, n = packing.counted(ids.astype("<u4") + np.uint32(shift), sizes)
+        assert doc.tolist() == np.repeat(np.arange(len(docs)), [len(t) for t, _ in want]).tolist()
+        assert (terms - shift).tolist() == np.concatenate([t for t, _ in want]).tolist()
+        assert n.tolist() == np.concatenate([c for _, c in want]).tolist()
+    assert [len(x) for x in packing.counted(ids[:0], sizes[:0])] == [0, 0, 0]
+    summary = packing.Summary()
+    summary.add(ids, sizes, np.arange(len(docs)))
+    assert summary.df.tolist() == df.tolist()
+    best = np.concatenate([packing.Shard(docs[::5]).rankings(np.concatenate(docs[at]), sizes[at]) for at in packing._few_tokens(sizes.tolist())])
+    assert best.shape == (len(docs), packing.RANKED)
+    assert np.allclose(np.take_along_axis(score, best.astype(int), 1), -np.sort(-score, 1)[:, : packing.RANKED], rtol=1e-5)

@@ -49,8 +49,8 @@ LEADERS, RANKED = 256, 8
 CACHE_WORDS = 400_000
 #: Words that one call of the tokenizer encodes.
 CALL_WORDS = 5_000
-#: Rows whose tokens are returned at once.
-BATCH_ROWS = 2_000
+#: Rows whose tokens are returned at once, and rows that rank the leaders at once.
+BATCH_ROWS, RANKED_ROWS = 2_000, 256
 
 TAIL = ".,!?;:*|&$%#"
 SCHEMA = "{id} {type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -63,6 +63,19 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat((starts - (ends - sizes)).astype(kind), sizes) + np.arange(ends[-1] if len(ends) else 0, dtype=kind)
 
 
+def counted(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of documents whose ids follow each other: document, term, how often; by document, then term.  One sort for all."""
+    span = int(ids.max(initial=0)) + 1
+    kind = np.uint32 if len(sizes) * span < 1 << 32 else np.uint64
+    keys = np.repeat(np.arange(len(sizes), dtype=kind) * kind(span), sizes)
+    keys += ids.astype(kind, copy=False)
+    keys.sort()
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + kind(1)))
+    found = keys[first]
+    doc = found // kind(span)
+    return doc.astype(np.int32), (found - doc * kind(span)).astype(np.int64), np.diff(first, append=len(keys))
+
+
 class WordTokens:
     """Token ids of texts, looked up by white-space separated words.
 
@@ -203,11 +216,9 @@ class Shard:
     """BM25 inverted index over the token ids of a block of documents; without a corpus the block is all there is."""
 
     def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
-        counted = [np.unique(d, return_counts=True) for d in docs]
-        sizes = np.array([len(t) for t, _ in counted])
-        terms, tf = (np.concatenate([c[i] for c in counted]) for i in (0, 1))
-        doc = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
         length = np.array([len(d) for d in docs], float)
+        doc, terms, tf = counted(np.concatenate(docs), length.astype(np.int64))
+        sizes = np.bincount(doc, minlength=len(docs))
         corpus = corpus or corpus_of(len(docs), int(length.sum()), np.bincount(terms))
         saturated = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / corpus.mean_length))
         df = np.bincount(terms, minlength=len(corpus.idf))
@@ -235,9 +246,19 @@ class Shard:
         at = ragged(self.starts[rare], sizes)
         return out + np.bincount(self.postings[at], self.scores[at], self.n)
 
-    def ranking(self, terms: np.ndarray) -> bytes:
-        """The documents of best score, one byte for each, ties by position."""
-        return np.argsort(-self.score(terms), kind="stable")[:RANKED].astype(np.uint8).tobytes()
+    def rankings(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """For documents whose ids follow each other a row of the shard's documents of best score, one byte for each, ties by position."""
+        doc, terms, _ = counted(ids, sizes)
+        known = terms < len(self.row)
+        doc, terms = doc[known], terms[known]
+        row = self.row[terms]
+        often, rare = row >= 0, row < 0
+        has = np.zeros((len(sizes), len(self.dense)), np.float32)
+        has[doc[often], row[often]] = 1
+        n = self.starts[terms[rare] + 1] - self.starts[terms[rare]]
+        at = ragged(self.starts[terms[rare]], n)
+        score = np.bincount(np.repeat(doc[rare].astype(np.int64) * self.n, n) + self.postings[at], self.scores[at], len(sizes) * self.n).reshape(len(sizes), self.n)
+        return np.argsort(-(score + has @ self.dense), axis=1, kind="stable")[:, :RANKED].astype(np.uint8)
 
     def terms_of(self, doc: int) -> np.ndarray:
         return self.terms[self.begins[doc] : self.stops[doc]]
@@ -334,10 +355,7 @@ class Summary:
     def add(self, ids: np.ndarray, sizes: np.ndarray, chances: np.ndarray) -> None:
         if len(ids) and ids.max() >= len(self.df):
             self.df = np.concatenate([self.df, np.zeros(int(ids.max()) + 1 - len(self.df), np.int64)])
-        at = 0
-        for n in sizes.tolist():
-            self.df[np.unique(ids[at : at + n])] += 1
-            at += n
+        self.df += np.bincount(counted(ids, sizes)[1], minlength=len(self.df))
         self.docs, self.tokens = self.docs + len(sizes), self.tokens + len(ids)
         self.chances = np.sort(np.concatenate([self.chances, chances]))[:LEADERS]
 
@@ -379,6 +397,18 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     return docs.withColumn("chance", F.xxhash64("id", "text")).mapInArrow(encoded, f"id {kind}, ids binary, doc_tokens long, chance long, summary array<struct<kind:string,key:long,value:long>>")
 
 
+def _few_tokens(sizes: list[int]) -> Iterator[slice]:
+    """Cut documents so that few rows and tokens are taken at once."""
+    first, tokens = 0, 0
+    for i, n in enumerate(sizes):
+        tokens += n
+        if tokens >= BLOCK_TOKENS or i + 1 - first == RANKED_ROWS:
+            yield slice(first, i + 1)
+            first, tokens = i + 1, 0
+    if first < len(sizes):
+        yield slice(first, len(sizes))
+
+
 class Statistics(NamedTuple):
     corpus: Corpus
     last_chance: int  # of the leaders
@@ -409,7 +439,8 @@ def ranked(tokens: DataFrame, known: Statistics) -> DataFrame:
         forget_words()  # the worker tokenises no more
         index = Shard(leaders, known.corpus) if leaders else None
         for batch in batches:
-            keys = [index.ranking(np.unique(ids)) for ids in tokens_of(batch)]
+            ids = list(tokens_of(batch))
+            keys = [row.tobytes() for at in _few_tokens([len(d) for d in ids]) for row in index.rankings(np.concatenate(ids[at]), np.array([len(d) for d in ids[at]]))]
             yield batch.append_column("ranking", pa.array(keys, pa.binary()))
 
     return rows.mapInArrow(rankings, f"id {dict(rows.dtypes)['id']}, ids binary, doc_tokens long, chance long, ranking binary")
