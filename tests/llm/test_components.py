@@ -35,6 +35,24 @@ def test_components_of_paths_stars_and_random_graphs(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_edges_take_no_rounds_and_many_tasks_still_join(spark, monkeypatch):
+    from voxloom.llm import common
+    from voxloom.llm import components as C
+
+    made, keep = [], common.checkpoint
+    monkeypatch.setattr(common, "checkpoint", lambda df: made.append(1) or keep(df))
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(300)] + [(rng.randrange(400, 900), rng.randrange(400, 900)) for _ in range(300)]
+    rng.shuffle(edges)
+    want = plain([e for e in edges if e[0] != e[1]])
+    df = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    assert {r["node"]: r["root"] for r in components(df).collect()} == want
+    assert len(made) == 2  # a round's plan has over a hundred aggregations, and each task of it stays in the driver's memory
+    monkeypatch.setattr(C, "EDGES_PER_TASK", 40)
+    assert {r["node"]: r["root"] for r in components(df).collect()} == want
+    assert len(made) > 5
+
+
 def test_variance_and_recall_of_the_signatures():
     rng = np.random.default_rng(11)
     estimates, missed, pairs = [], 0, 0
