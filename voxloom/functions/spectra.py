@@ -11,10 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import batches as B
 from . import vectors as V
 from .vectors import bound, total
 
@@ -178,12 +180,20 @@ def stft_distance(a: np.ndarray, b: np.ndarray, sizes: tuple[int, ...]) -> float
 def with_log_spectra(df: DataFrame, signal: str, name: str, sizes: tuple[int, ...] = (1024, 512, 256)) -> DataFrame:
     """Add the spectra of each signal, an array over sizes of arrays over frames; null and empty signals have null."""
 
-    def spectra(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def listed(found: list[list[np.ndarray] | None]) -> pa.Array:
+        each = [s for x in found if x is not None for s in x]
+        values = np.concatenate([np.zeros(0), *(s.ravel() for s in each)])
+        frames = B.lists(pa.array(values, from_pandas=True), [s.shape[1] for s in each for _ in s])
+        return B.lists(B.lists(frames, [len(s) for s in each]), [None if x is None else len(x) for x in found])
+
+    def spectra(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch[name] = [None if x is None or len(x) == 0 else [log_spectrum(np.asarray(x, float), n).tolist() for n in sizes] for x in batch[signal]]
-            yield batch
+            for at, n in B.parts(batch[signal]):
+                part = batch.slice(at, n)
+                found = listed([[log_spectrum(x, size) for size in sizes] if x is not None and len(x) else None for x in B.arrays(part[signal])])
+                yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, name])
 
-    return df.mapInPandas(spectra, T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))]))
+    return df.mapInArrow(spectra, T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))]))
 
 
 def with_stft_distance(df: DataFrame, a: str, b: str, name: str, sizes: tuple[int, ...] = (1024, 512, 256)) -> DataFrame:
