@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.scan import with_next, with_previous
+from . import batches as B
 
 #: Zero crossings of the sinc to each side, and the share of the lower Nyquist rate that passes.
 ZEROS, ROLLOFF = 24, 0.95
@@ -72,8 +73,10 @@ def resample(x: Column, rate: int, new_rate: int) -> Column:
     reduced(rate, new_rate)
 
     @F.arrow_udf("array<double>")
-    def resampled(signals: pa.Array) -> pa.Array:
-        return pa.array([None if s.as_py() is None else in_new_rate(np.nan_to_num(np.array(s.as_py(), float)), rate, new_rate) for s in signals], pa.list_(pa.float64()))
+    def resampled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for at, n in B.parts(batch):
+                yield B.rows([None if s is None else in_new_rate(np.nan_to_num(s), rate, new_rate) for s in B.arrays(batch.slice(at, n))])
 
     return resampled(x.cast("array<double>"))
 
